@@ -42,7 +42,7 @@ def same_cell(distance: float, width: float = WIDTH) -> float:
     return 1 - 2 * phi - 2 / (math.sqrt(2 * math.pi) * t) * (1 - math.exp(-t * t / 2))
 
 
-def plan_tables(n: int, cosine: float, miss: float = 0.005, strangers: float = 1.0) -> tuple[int, int]:
+def plan_tables(n: int, cosine: float, miss: float = 0.005, strangers: float = 0.02) -> tuple[int, int]:
     """``(hashes, tables)`` for ``n`` vectors: about ``strangers`` orthogonal vectors in a bucket, ``miss`` at the threshold."""
     near = same_cell(math.sqrt(max(2 - 2 * cosine, 1e-9)))
     hashes = max(6, math.ceil(math.log(max(n, 2) / strangers) / -math.log(same_cell(math.sqrt(2)))))
