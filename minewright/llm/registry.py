@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from minewright.llm import topk, url_rules, vector_dedup
+from minewright.llm import language_id, packing, topk, toxicity, url_rules, vector_dedup
 
 QUERIES = {
+    "op1_best_fit_packing": packing.op1_best_fit_packing,
     "op2_topk_search": topk.op2_topk_search,
     "op4_vector_dedup": vector_dedup.op4_vector_dedup,
     "op5_url_filters": url_rules.op5_url_filters,
+    "op8_toxicity": toxicity.op8_toxicity,
+    "op9_language_id": language_id.op9_language_id,
 }
 ORACLES = {
     "op2_topk_search": topk.OP2_SQL,
