@@ -27,6 +27,7 @@ import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from minewright.llm.units import UnitMemory, slices, white_split
 from minewright.staging import stage
@@ -123,7 +124,7 @@ def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY, group_pieces: int =
         where, offset = sum_of_squares(pdf["length"].to_numpy(), capacity)
         return pdf.assign(sequence_id=(pdf["pack_group"].astype(np.int64) << 32) + where, offset=offset)
 
-    schema = keyed.schema.add("sequence_id", "long").add("offset", "long")
+    schema = StructType([*keyed.schema.fields, StructField("sequence_id", LongType()), StructField("offset", LongType())])
     return keyed.groupBy("pack_group").applyInPandas(run, schema).drop("pack_group")
 
 

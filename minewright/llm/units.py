@@ -8,7 +8,7 @@ from collections.abc import Callable, Sequence
 import numpy as np
 
 #: Unicode's White_Space, which the tokenizers split on (Python's ``\s`` has four control characters more).
-WHITE = r"\t-\r \x85\xa0  -     　"
+WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _GAPS = re.compile(f"[{WHITE}]+")
 _ODD = re.compile("[\x1c-\x1f]")
 
