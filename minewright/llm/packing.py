@@ -122,7 +122,7 @@ def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY, group_pieces: int =
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["length", "row", "piece"], ascending=[False, True, True], kind="stable", ignore_index=True)
         where, offset = sum_of_squares(pdf["length"].to_numpy(), capacity)
-        return pdf.assign(sequence_id=(pdf["pack_group"].astype(np.int64) << 32) + where, offset=offset)
+        return pdf.assign(sequence_id=pdf["pack_group"].to_numpy().astype(np.int64) * 2**32 + where, offset=offset)
 
     schema = StructType([*keyed.schema.fields, StructField("sequence_id", LongType()), StructField("offset", LongType())])
     return keyed.groupBy("pack_group").applyInPandas(run, schema).drop("pack_group")
