@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from minewright.llm import language_id, packing, topk, toxicity, url_rules, vector_dedup
+from minewright.llm import language_id, packing, pieces, token_counts, topk, toxicity, url_rules, vector_dedup
 
 QUERIES = {
     "op1_best_fit_packing": packing.op1_best_fit_packing,
     "op2_topk_search": topk.op2_topk_search,
+    "op3_sentencepiece": pieces.op3_sentencepiece,
     "op4_vector_dedup": vector_dedup.op4_vector_dedup,
     "op5_url_filters": url_rules.op5_url_filters,
+    "op7_token_counts": token_counts.op7_token_counts,
     "op8_toxicity": toxicity.op8_toxicity,
     "op9_language_id": language_id.op9_language_id,
 }

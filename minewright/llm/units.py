@@ -66,7 +66,7 @@ class UnitMemory:
         return self.ids[at], np.concatenate([[0], upto])[ends] if len(texts) else np.zeros(0, np.int64)
 
 
-def slices(texts: Sequence[str | None], chars: int = 1 << 21) -> list[tuple[int, int]]:
+def slices(texts: Sequence[str | None], chars: int = 1 << 22) -> list[tuple[int, int]]:
     """Ranges of rows with about ``chars`` characters together; one longer text is a range of its own."""
     out, start, held = [], 0, 0
     for i, t in enumerate(texts):
