@@ -5,10 +5,12 @@ projected on Gaussian directions, shifted and quantised; ``hashes`` such numbers
 make its bucket in one of ``tables`` tables.  Both follow from the number of
 vectors: enough hashes that vectors far apart seldom meet, enough tables that a
 pair exactly at the threshold is missed with probability ``miss`` at most.
-Vectors that share a bucket are compared by their exact cosine in blocks; a pair
-that shares several buckets counts in the first one only.  Buckets of any size
-are done whole: a large one is dealt out as pairs of chunks.  A bucket gives
-link counts and a spanning forest, not its pairs.
+Vectors that are joined by chains of shared buckets form a family; a family is
+compared once, by exact cosines in blocks, dealt out as pairs of chunks.  A
+family over ``family_rows`` is compared bucket by bucket instead, in pairs of
+chunks too, and a pair that shares several buckets counts in the first one only;
+so families and buckets of any size are done whole.  A block gives link counts
+and a spanning forest, not its pairs.
 
 Defined cases: vectors that are null, empty, zero, or hold null or non-finite
 components link with nothing and are their own component; vectors of different
@@ -42,8 +44,9 @@ def same_cell(distance: float, width: float = WIDTH) -> float:
     return 1 - 2 * phi - 2 / (math.sqrt(2 * math.pi) * t) * (1 - math.exp(-t * t / 2))
 
 
-def plan_tables(n: int, cosine: float, miss: float = 0.005, strangers: float = 0.02) -> tuple[int, int]:
-    """``(hashes, tables)`` for ``n`` vectors: about ``strangers`` orthogonal vectors in a bucket, ``miss`` at the threshold."""
+def plan_tables(n: int, cosine: float, miss: float = 0.005, strangers: float = 0.001) -> tuple[int, int]:
+    """``(hashes, tables)`` for ``n`` vectors: about ``strangers`` orthogonal vectors in a bucket,
+    so few that chance does not join families, ``miss`` at the threshold."""
     near = same_cell(math.sqrt(max(2 - 2 * cosine, 1e-9)))
     hashes = max(6, math.ceil(math.log(max(n, 2) / strangers) / -math.log(same_cell(math.sqrt(2)))))
     return hashes, max(1, math.ceil(math.log(miss) / math.log1p(-(near**hashes))))
@@ -86,9 +89,9 @@ def _compare(cosine: float):
         t, i, j = (int(pdf[c].iloc[0]) for c in ("t", "i", "j"))
         x = _unit(np.stack(pdf["v"].to_numpy()).astype(np.float64))
         ids, n, chunk = pdf["cls"].to_numpy(), pdf["n"].to_numpy(), pdf["chunk"].to_numpy()
-        codes = np.stack(pdf["codes"].to_numpy())
         a, b = np.nonzero(chunk == i)[0], np.nonzero(chunk == j)[0]
         link = x[a] @ x[b].T >= cosine
+        codes = np.stack(pdf["codes"].to_numpy()) if t >= 0 else None  # t is -1 for a family
         for s in range(t):  # an earlier table has the pair
             link &= (codes[a, s][:, None] != codes[b, s][None, :]) | (codes[a, s] == 0)[:, None]
         link &= ids[a][:, None] != ids[b][None, :]
@@ -115,7 +118,7 @@ def _compare(cosine: float):
     return run
 
 
-def vector_links(vectors: DataFrame, cosine: float = 0.95, miss: float = 0.005, chunk: int = 512, seed: int = 7) -> DataFrame:
+def vector_links(vectors: DataFrame, cosine: float = 0.95, miss: float = 0.005, chunk: int = 512, family_rows: int = 8192, seed: int = 7) -> DataFrame:
     """``id, n_links, component_id, kept`` of every row of ``vectors`` (``id long, v array<float or double>``)."""
     spark = vectors.sparkSession
     whole = usable(F.col("v")) & F.exists("v", lambda x: x != 0)
@@ -139,13 +142,22 @@ def vector_links(vectors: DataFrame, cosine: float = 0.95, miss: float = 0.005,
         .select("b.t", "b.code", "size")
     )
     kept = stage(spelled.join(buckets, ["t", "code"]), "vector-buckets")
-    # A class's kept buckets by table, 0 where it has none: what tells in which table a pair meets first.
-    own = kept.groupBy("cls").agg(F.map_from_entries(F.collect_list(F.struct("t", "code"))).alias("m")).select(
+    hubs = kept.groupBy("t", "code").agg(F.min("cls").alias("hub"))
+    families = stage(connected_components(kept.join(hubs, ["t", "code"]).select(F.col("cls").alias("u"), F.col("hub").alias("v"))), "vector-families")
+    small = families.groupBy("component").agg((F.count(F.lit(1)) <= family_rows).alias("small"))
+    placed = stage(
+        kept.join(families.select(F.col("node").alias("cls"), "component"), "cls").join(small, "component")
+        .select("cls", F.when(F.col("small"), -1).otherwise(F.col("t")).alias("t"), F.when(F.col("small"), F.col("component")).otherwise(F.col("code")).alias("code"))
+        .distinct(),
+        "vector-places",
+    )
+    # In large families: a class's kept buckets by table, 0 where it has none, which tell in which table a pair meets first.
+    own = placed.where("t >= 0").groupBy("cls").agg(F.map_from_entries(F.collect_list(F.struct("t", "code"))).alias("m")).select(
         "cls", F.transform(F.sequence(F.lit(0), F.lit(tables - 1)), lambda t: F.coalesce(F.try_element_at(F.col("m"), t), F.lit(0).cast("long"))).alias("codes"))
-    full = own.join(classes.select("cls", "n", F.col("v").cast("array<double>").alias("v")), "cls")
-    chunks = F.expr(f"CAST(ceil(size / {chunk}) AS INT)")
+    full = classes.select("cls", "n", F.col("v").cast("array<double>").alias("v")).join(own, "cls", "left")
+    sizes = placed.groupBy("t", "code").agg(F.expr(f"CAST(ceil(count(1) / {chunk}) AS INT)").alias("chunks"))
     dealt = (
-        kept.withColumn("chunks", chunks)
+        placed.join(sizes, ["t", "code"])
         .withColumn("chunk", F.pmod(F.xxhash64("cls", "t"), F.col("chunks")).cast("int"))
         .withColumn("other", F.explode(F.expr("sequence(0, chunks - 1)")))
         .select("cls", "t", "code", "chunk", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"))
