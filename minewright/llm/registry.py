@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from minewright.llm import language_id, ngram_join, packing, pieces, token_counts, topk, toxicity, url_rules, vector_dedup
+from minewright.llm import language_id, ngram_join, packing, pieces, suffix_dedup, token_counts, topk, toxicity, url_rules, vector_dedup
 
 QUERIES = {
     "op1_best_fit_packing": packing.op1_best_fit_packing,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_sentencepiece": pieces.op3_sentencepiece,
     "op4_vector_dedup": vector_dedup.op4_vector_dedup,
     "op5_url_filters": url_rules.op5_url_filters,
+    "op6_suffix_dedup": suffix_dedup.op6_suffix_dedup,
     "op7_token_counts": token_counts.op7_token_counts,
     "op8_toxicity": toxicity.op8_toxicity,
     "op9_language_id": language_id.op9_language_id,
