@@ -27,4 +27,4 @@ def query(name: str, oracle: str | None = None):
     return add
 
 
-from minewright.plans import urls  # noqa: E402,F401  registers on import
+from minewright.plans import scores, urls  # noqa: E402,F401  register on import
