@@ -166,11 +166,11 @@ def median_unsorted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return A.unsorted_median(table(spark, sf_dir, "orders").select("o_orderpriority", "o_orderkey", "o_totalprice"), ["o_orderpriority"], "o_totalprice", "o_orderkey")
 
 
-@query("higher_is_better", f"SELECT l_linenumber % 2 = 0 AS even, l_linestatus, CASE WHEN count(DISTINCT l_returnflag = 'N') = 1 THEN max(l_returnflag = 'N') END AS higher_is_better FROM ({_LINES}) x GROUP BY 1, 2")
+@query("higher_is_better", f"SELECT l_linenumber % 2 = 0 AS even, l_linestatus, CASE WHEN count(DISTINCT l_returnflag = 'N') = 1 THEN CAST(max(l_returnflag = 'N') AS VARCHAR) END AS higher_is_better FROM ({_LINES}) x GROUP BY 1, 2")
 def higher_is_better(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A group's direction, null where its members disagree."""
     up = F.col("l_returnflag") == "N"
-    return table(spark, sf_dir, "lineitem").groupBy((F.col("l_linenumber") % 2 == 0).alias("even"), "l_linestatus").agg(F.when(F.min(up) == F.max(up), F.max(up)).alias("higher_is_better"))
+    return table(spark, sf_dir, "lineitem").groupBy((F.col("l_linenumber") % 2 == 0).alias("even"), "l_linestatus").agg(F.when(F.min(up) == F.max(up), F.max(up)).cast("string").alias("higher_is_better"))
 
 
 @query("sample_size", "SELECT lang, count(*) AS n, CAST(ceil(count(*) * 0.1) AS BIGINT) AS tenth, least(count(*), 25) AS first_25 FROM documents GROUP BY lang")
