@@ -51,7 +51,7 @@ def library_units(path: str) -> UnitMemory:
             size = np.fromiter(map(len, parts), np.int64, len(parts))
             return np.fromiter((x for p in parts for x in p), np.uint32, int(size.sum())), size
 
-        _MEMORY[path] = UnitMemory(work)
+        _MEMORY[path] = UnitMemory(work, bound=1_400_000)  # about 350 MB
     return _MEMORY[path]
 
 

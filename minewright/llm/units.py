@@ -10,12 +10,12 @@ import numpy as np
 #: Unicode's White_Space, which the tokenizers split on (Python's ``\s`` has four control characters more).
 WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _GAPS = re.compile(f"[{WHITE}]+")
-_ODD = re.compile("[\x1c-\x1f]")
+_ODD = "\x1c\x1d\x1e\x1f"
 
 
 def white_split(text: str) -> list[str]:
     """The runs between white space."""
-    if _ODD.search(text):
+    if any(c in text for c in _ODD):
         return [x for x in _GAPS.split(text) if x]
     return text.split()
 
