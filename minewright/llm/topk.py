@@ -64,7 +64,8 @@ def _exact(q: np.ndarray, c: np.ndarray) -> np.ndarray:
     top = float(np.abs(q).max()) * float(np.abs(c).max()) * q.shape[1]
     if top < 2.0**53:
         return (q @ c.T).astype(np.int64)
-    exact = q.astype(object) @ c.T.astype(object) if top < 1e300 else np.array([[sum(int(a) * int(b) for a, b in zip(x, y, strict=True)) for y in c] for x in q], object)
+    whole = np.vectorize(int, otypes=[object])  # Python's integers
+    exact = whole(q) @ whole(c).T
     if max(abs(int(v)) for v in exact.ravel()) >= 2**63:
         raise OverflowError("an inner product does not fit into 64 bits")
     return exact.astype(np.int64)
