@@ -32,12 +32,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from minewright.llm.anchors import SPAN, RollingHash, anchors
 from minewright.llm.bwt import repeated
-from minewright.llm.units import slices
 from minewright.llm.words import beside
 from minewright.staging import shuffle_width, stage
 
@@ -51,10 +51,27 @@ def _hashes() -> tuple[RollingHash, RollingHash]:
     return RollingHash(101), RollingHash(202)
 
 
-def _joined(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    raw = [(t or "").encode("utf-8") for t in texts]
-    end = np.cumsum(list(map(len, raw)), dtype=np.int64)
-    return np.frombuffer(b"".join(raw), np.uint8), end - np.array(list(map(len, raw)), np.int64), end
+#: Bytes worked on at a time; a longer text is cut into segments that overlap by a window less one byte.
+SEGMENT = 1 << 20
+
+
+def _segments(texts: list[str | None], length: int) -> Iterator[tuple[list[int], list[int], list[bytes]]]:
+    """Groups of segments: number of the text, where the segment begins in it, its bytes."""
+    owner: list[int] = []
+    base: list[int] = []
+    parts: list[bytes] = []
+    held = 0
+    for i, t in enumerate(texts):
+        raw = (t or "").encode("utf-8")
+        for at in range(0, max(len(raw) - length + 1, 0), SEGMENT):
+            part = raw[at : at + SEGMENT + length - 1]
+            if held and held + len(part) > SEGMENT:
+                yield owner, base, parts
+                owner, base, parts, held = [], [], [], 0
+            owner.append(i), base.append(at), parts.append(part)
+            held += len(part)
+    if parts:
+        yield owner, base, parts
 
 
 def _by(values: np.ndarray, part: np.ndarray) -> dict[int, bytes]:
@@ -76,13 +93,16 @@ def _map_anchors(length: int, blocks: int):
         one, two = _hashes()
         for batch in batches:
             texts, keys = batch.column(0).to_pylist(), batch.column(1).to_numpy()
-            for a, b in slices(texts):
-                data, begin, end = _joined(texts[a:b])
-                got = anchors(data, begin, end, one, two, length)
+            for owner, base, parts in _segments(texts, length):
+                size = np.array(list(map(len, parts)), np.int64)
+                end = np.cumsum(size)
+                begin = end - size
+                got = anchors(np.frombuffer(b"".join(parts), np.uint8), begin, end, one, two, length)
                 e = np.zeros(len(got["at"]), _ENTRY)
                 for c in ("core", "extent", "near", "far"):
                     e[c] = got[c]
-                e["key"], e["at"] = keys[a:b][got["text"]], got["at"] - begin[got["text"]]
+                e["key"] = keys[np.array(owner)][got["text"]]
+                e["at"] = got["at"] - begin[got["text"]] + np.array(base)[got["text"]]
                 order = np.lexsort((e["at"], e["key"], e["far"], e["near"], e["extent"], e["core"]))
                 e = e[order]
                 new = np.append(True, (e["core"][1:] != e["core"][:-1]) | (e["extent"][1:] != e["extent"][:-1]) | (e["near"][1:] != e["near"][:-1]) | (e["far"][1:] != e["far"][:-1]))[: len(e)]
@@ -145,20 +165,17 @@ def _members(length: int):
     """The open anchors of texts as short strings: ``start`` is where the first start of the slice lies."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        one, _ = _hashes()
         for batch in batches:
             for r in batch.to_pylist():
                 raw = r["text"].encode("utf-8")
-                data = np.frombuffer(raw, np.uint8)
-                one.load(data)
                 rows: list[list] = [[] for _ in range(6)]
                 for p in r["places"]:
                     at, near, far = p["at"], p["near"], p["far"]
                     for k in range(near // SLICE * SLICE, far + 1, SLICE):
                         lo, hi = max(near, k), min(far, k + SLICE - 1)
                         stop = at + length - k - SLICE + 1  # end of what all starts of the slice share
-                        common = one.of(np.array([at - k]), np.array([stop]))[0] ^ np.uint64(k * 0x9E3779B1)
-                        for c, x in zip(rows, (int(common.astype(np.int64)), r["key"], at - hi, p["open"], raw[at - hi : at - k], raw[stop : at + length - lo]), strict=True):
+                        common = xxhash.xxh3_64_intdigest(raw[at - k : stop], seed=k) - (1 << 63)
+                        for c, x in zip(rows, (common, r["key"], at - hi, p["open"], raw[at - hi : at - k], raw[stop : at + length - lo]), strict=True):
                             c.append(x)
                 types = (pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.binary(), pa.binary())
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(rows, types, strict=True)], names=["symbol", "key", "start", "open", "left", "right"])
