@@ -145,7 +145,7 @@ def _entries(seed: int, frequent: np.ndarray, blocks: int):
         shingler = Shingler(seed)
         for batch in batches:
             texts = batch.column(0).to_pylist()
-            for a, b in slices(texts, 1 << 24):
+            for a, b in slices(texts, 1 << 22):
                 sets = [shingler(t) for t in texts[a:b]]
                 node = np.array([_node(s)[0] for s in sets], np.int64)
                 n = np.array(list(map(len, sets)), np.int64)
