@@ -70,7 +70,7 @@ def _field(reply: Column, name: str) -> Column:
 
 def _chosen(reply: Column, name: str, images: Column) -> Column:
     """Images by the reply's indices: under the size, negative ones from the end; none if any is no integer."""
-    raw = F.filter(F.transform(F.split(F.regexp_replace(_field(reply, name), r"[\[\]]", ""), ","), F.trim), lambda x: x != "")
+    raw = F.filter(F.transform(F.split(F.regexp_replace(_field(reply, name), r"[\[\]]", ""), ","), lambda x: F.trim(x)), lambda x: x != "")
     index = F.transform(raw, lambda x: x.try_cast("int"))
     usable = F.filter(index, lambda i: (i < F.size(images)) & (i >= -F.size(images)))
     picked = F.transform(usable, lambda i: F.element_at(images, F.when(i >= 0, i + 1).otherwise(i)))
