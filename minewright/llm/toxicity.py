@@ -44,7 +44,7 @@ IDENTITY_TERMS = [
 def features_of(word: str) -> tuple[int, ...]:
     """Feature numbers of a word: itself and its beginnings."""
     named = ["=" + word] + [f"{word[:n]}*" for n in (4, 5, 6, 7, 8) if len(word) >= n]
-    return tuple(zlib.crc32(x.encode("utf-8", "surrogatepass")) for x in named)
+    return tuple(zlib.crc32(x.encode("utf-8", "surrogatepass")) >> 1 for x in named)
 
 
 def swapped(words: list[str], step: int, kinds: dict[str, list[str]]) -> list[str] | None:
@@ -72,7 +72,7 @@ def _sample_features(terms: list[list[str]]):
                         # A counterfactual pair is kept as its difference: its sign shows which side a feature is on.
                         for r, x in zip(rows, (label, sorted(moved & base) + [-f - 1 for f in sorted(moved - base)], step), strict=True):
                             r.append(x)
-            yield pa.record_batch([pa.array(rows[0], pa.int32()), pa.array(rows[1], pa.list_(pa.int64())), pa.array(rows[2], pa.int32())], names=["label", "f", "step"])
+            yield pa.record_batch([pa.array(rows[0], pa.int32()), pa.array(rows[1], pa.list_(pa.int32())), pa.array(rows[2], pa.int32())], names=["label", "f", "step"])
 
     return run
 
@@ -99,53 +99,63 @@ def fit_logistic(offsets: np.ndarray, cols: np.ndarray, y: np.ndarray, pairs: li
     return w
 
 
-def _fit(max_features: int, penalty: float, l2: float, rounds: int):
+def _fit(max_features: int, penalty: float, l2: float, steps: int):
     def run(key: tuple[pa.Scalar, ...], t: pa.Table) -> pa.Table:
         step, label = t["step"].to_numpy(), t["label"].to_numpy().astype(float)
         lists = t["f"].combine_chunks()
-        flat, at = lists.values.to_numpy(), lists.offsets.to_numpy()
-        base = np.nonzero(step == 0)[0]
-        order = base[np.lexsort((at[base + 1] - at[base], label[base]))]  # any fixed order
-        y = label[order]
-        cells = np.concatenate([flat[at[i] : at[i + 1]] for i in order]) if len(order) else np.zeros(0, np.int64)
-        width = np.array([at[i + 1] - at[i] for i in order], int)
-        names, cols = np.unique(cells, return_inverse=True)
+        flat, at = lists.values.to_numpy(), lists.offsets.to_numpy().astype(np.int64)
+        y = label[step == 0]
         pos, neg = y.sum(), len(y) - y.sum()
         if not pos or not neg:
             return pa.table({"feature": pa.array([None], pa.int64()), "weight": [np.log(pos / max(neg, 1e-6) + 1e-9) if len(y) else -30.0]})
-        yes = np.bincount(cols, np.repeat(y, width), len(names))
-        no = np.bincount(cols, None, len(names)) - yes
+
+        def counted(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            return np.unique(np.concatenate([flat[at[i] : at[i + 1]] for i in rows]), return_counts=True)
+
+        names, every = counted(np.flatnonzero(step == 0))
+        some, yes_of = counted(np.flatnonzero((step == 0) & (label > 0)))
+        yes = np.zeros(len(names))
+        yes[np.searchsorted(names, some)] = yes_of
+        no = every - yes
         odds = np.log((yes + 0.5) / (pos + 1)) - np.log((no + 0.5) / (neg + 1))
         sure = np.abs(odds) / np.sqrt(1 / (yes + 0.5) + 1 / (no + 0.5))
-        chosen = np.sort(np.lexsort((names, -sure))[:max_features])
-        chosen = chosen[(sure[chosen] > 3) & (yes[chosen] + no[chosen] > 2)]
-        new = np.full(len(names) + 1, -1)
-        new[chosen] = np.arange(len(chosen))
-        keep = new[cols] >= 0
-        offsets = np.concatenate([[0], np.cumsum(np.bincount(np.repeat(np.arange(len(y)), width)[keep], None, len(y)))]).astype(int)
+        chosen = np.lexsort((names, -sure))[:max_features]
+        chosen = np.sort(chosen[(sure[chosen] > 3) & (every[chosen] > 2)])
+        kept = names[chosen]
+        del names, every, some, yes, no, odds, sure
+
+        def columns(f: np.ndarray) -> np.ndarray:
+            """Column of each feature, -1 for those not chosen."""
+            slot = np.minimum(np.searchsorted(kept, f), max(len(kept) - 1, 0))
+            return np.where(kept[slot] == f, slot, -1) if len(kept) else np.full(len(f), -1)
+
+        rows = [(label[i], c[c >= 0].tolist()) for i in np.flatnonzero(step == 0) for c in [columns(flat[at[i] : at[i + 1]])]]
+        rows.sort()  # any fixed order
+        y = np.array([r[0] for r in rows])
+        offsets = np.append(0, np.cumsum([len(r[1]) for r in rows]))
+        cells = np.array([c for r in rows for c in r[1]], np.int64)
         pairs = []
         for i in np.nonzero(step > 0)[0]:
             d = flat[at[i] : at[i + 1]]
             name, sign = np.where(d < 0, -d - 1, d), np.where(d < 0, -1.0, 1.0)
-            slot = np.searchsorted(names, name)
-            col = np.where((slot < len(names)) & (names[np.minimum(slot, len(names) - 1)] == name), new[np.minimum(slot, len(names))], -1)
+            col = columns(name)
             if (col >= 0).any():
                 pairs.append((col[col >= 0], sign[col >= 0]))
-        w = fit_logistic(offsets, new[cols[keep]], y, pairs, len(chosen), penalty, l2, rounds)
-        return pa.table({"feature": pa.array([*names[chosen].tolist(), None], pa.int64()), "weight": w})
+        w = fit_logistic(offsets, cells, y, pairs, len(kept), penalty, l2, steps)
+        return pa.table({"feature": pa.array([*kept.tolist(), None], pa.int64()), "weight": w})
 
     return run
 
 
 def fit_toxicity(
-    documents: DataFrame, labels: DataFrame, max_train: int = 16_000, max_features: int = 4096,
+    documents: DataFrame, labels: DataFrame, max_train: int = 12_000, max_features: int = 4096,
     penalty: float = 1.0, l2: float = 2e-5, rounds: int = 300, terms: list[list[str]] = IDENTITY_TERMS,
 ) -> dict[int | None, float]:
     """``feature -> weight``, the intercept under None. ``labels`` has ``doc_id, toxic``: those that may be learnt from."""
     known = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     chosen = known.where(hash_sample(F.col("doc_id"), max_train, known.count()))  # the bound is what allows the broadcast
     sample = documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", F.col("toxic").cast("int").alias("label"))
-    rows = sample.mapInArrow(_sample_features(terms), "label int, f array<long>, step int")
+    rows = sample.mapInArrow(_sample_features(terms), "label int, f array<int>, step int")
     model = rows.groupBy(F.lit(0).alias("all")).applyInArrow(_fit(max_features, penalty, l2, rounds), "feature long, weight double")
     return {r.feature: r.weight for r in model.collect()} or {None: -30.0}  # max_features + 1 rows
 
