@@ -13,8 +13,8 @@ candidate has a local score, and its score is their sum.
    those whose bound reaches the cutoff are scored exactly.
 
 Queries and candidates meet in blocks of bounded size: a block of queries is
-paired with each block of candidates, never row with row.  Only heads and
-final entries are shuffled.
+paired with each block of candidates, never row with row.  Beside the blocks,
+only heads, cutoffs and final entries are shuffled.
 
 Defined cases: vectors that are null, empty, or hold null or non-finite
 components take no part, on either side; vectors of another length than the
