@@ -63,7 +63,7 @@ def passage_retrieval(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("time_spans", """
-SELECT o_orderkey, least(o_custkey, o_orderkey % 100) * 1.0 AS start, greatest(o_custkey, o_orderkey % 100) * 1.0 AS stop FROM orders""")
+SELECT o_orderkey, CAST(least(o_custkey, o_orderkey % 100) AS DOUBLE) AS start, CAST(greatest(o_custkey, o_orderkey % 100) AS DOUBLE) AS stop FROM orders""")
 def time_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     reply = F.concat(F.lit("It happens from "), F.col("o_custkey").cast("string"), F.lit(" to "), (F.col("o_orderkey") % 100).cast("string"), F.lit(" seconds."))
     s = table(spark, sf_dir, "orders").select("o_orderkey", spans.time_span(reply).alias("s"))

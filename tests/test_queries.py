@@ -1,6 +1,7 @@
 """Queries against DuckDB on the smallest tables, and the entry's contract."""
 
 import os
+from decimal import Decimal
 
 import duckdb
 import pytest
@@ -22,6 +23,8 @@ def duck():
 
 
 def plain(x):
+    if isinstance(x, Decimal):
+        x = float(x)
     if isinstance(x, float):
         return None if x != x else round(x, 6)
     if isinstance(x, (list, tuple)):
