@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from minewright.operators.sampling import ranked
+
 
 def last_by_key(rows: DataFrame, keys: list[str], order: list[Column | str]) -> DataFrame:
     """One row per key, the last in ``order``; null keys are dropped, as a lookup built from rows has them."""
@@ -25,6 +27,16 @@ def grouped_requests(requests: DataFrame, doc: str, index: str, fields: list[str
     return requests.groupBy(doc).agg(parts.alias("requests"), F.count(F.lit(1)).alias("n"))
 
 
+def following(rows: DataFrame, by: str, order: list[str], value: str, name: str) -> DataFrame:
+    """Every row that has a next one in its group, with that row's ``value`` as ``name``.
+
+    Rows meet by global rank, so that a long group is no more work for a task than many short ones.
+    """
+    placed = ranked(rows, [F.col(by), *map(F.col, order)])
+    after = placed.select((F.col("_rank") - 1).alias("_rank"), F.col(by).alias("_by"), F.col(value).alias(name))
+    return placed.join(after, "_rank").where(F.col(by).eqNullSafe(F.col("_by"))).drop("_rank", "_by")
+
+
 def upsert(old: DataFrame, new: DataFrame, keys: list[str], priority: str, seq: str) -> DataFrame:
     """Per key the row of highest ``priority``, then of greatest ``seq``."""
     both = old.unionByName(new, allowMissingColumns=True)

@@ -10,6 +10,7 @@ from minewright.functions import html as H
 from minewright.functions import images as I
 from minewright.functions import qa as Q
 from minewright.operators import decontam, statistics
+from minewright.operators import joins as J
 from minewright.plans.catalog import query
 from minewright.staging import table
 
@@ -118,6 +119,14 @@ def image_mark_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "conversations").select("conv_id", "turn", C.image_first(marked).alias("marked"))
 
 
+@query("image_mark_whole", r"""
+SELECT conv_id, turn, CASE WHEN turn % 2 = 0 THEN '<image>' || chr(10) || trim(text) ELSE text END AS marked FROM conversations""")
+def image_mark_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``image_mark_first`` on whole turns."""
+    marked = F.when(F.col("turn") % 2 == 0, F.concat("text", F.lit("<image>"))).otherwise(F.col("text"))
+    return table(spark, sf_dir, "conversations").select("conv_id", "turn", C.image_first(marked).alias("marked"))
+
+
 @query("padded_tokens", """
 WITH t AS (SELECT l_orderkey, list(l_partkey ORDER BY l_linenumber, l_partkey)[1:4] AS k FROM lineitem GROUP BY 1)
 SELECT l_orderkey, list_concat(k, list_transform(range(4 - len(k)), lambda x: CAST(0 AS BIGINT))) AS ids, len(k) AS kept FROM t""")
@@ -153,8 +162,9 @@ def bootstrap_interval(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = F.col("text")
-    return table(spark, sf_dir, "conversations").select("role", F.substring(t, 1, 200).alias("pred"), F.substring(t, 21, 200).alias("ref"))
+    """Whole turns against the next turn of their conversation."""
+    talk = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return J.following(talk, "conv_id", ["turn", "role", "text"], "text", "ref").select("role", F.col("text").alias("pred"), "ref")
 
 
 @query("corpus_bleu")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from minewright.functions import boxes as B
 from minewright.functions import sets as S
 from minewright.functions import text as T
+from minewright.operators import joins as J
 from minewright.plans.catalog import query
 from minewright.staging import table
 
@@ -30,6 +31,27 @@ def exact_match_norm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "conversations").groupBy("role").agg(F.avg(loose.cast("double")).alias("exact_match"), F.avg(strict.cast("double")).alias("strict_match"))
 
 
+#: Each turn's whole text with the next turn's of its conversation.
+_NEXT = "SELECT * FROM (SELECT conv_id, turn, role, text, lead(text) OVER w AS ref, lead(true) OVER w AS has FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn, role, text)) n WHERE has"
+
+
+def _turn_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    talk = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return J.following(talk, "conv_id", ["turn", "role", "text"], "text", "ref")
+
+
+_LOOSE = r"""regexp_replace(lower({x}), '[!"#$%&''()*+,\-./:;<=>?@\[\\\]^_`{{|}}~]', '', 'g')"""
+
+
+@query("exact_match_turns", f"""
+SELECT role, avg(CASE WHEN {_LOOSE.format(x='text')} = {_LOOSE.format(x='ref')} THEN 1.0 ELSE 0.0 END) AS exact_match, avg(CASE WHEN text = ref THEN 1.0 ELSE 0.0 END) AS strict_match FROM ({_NEXT}) p GROUP BY role""")
+def exact_match_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``exact_match_norm`` on whole turns, each against the next."""
+    loose, strict = T.exact_match(F.col("text"), F.col("ref"), ignore_case=True, ignore_punctuation=True), T.exact_match(F.col("text"), F.col("ref"))
+    share = lambda c: F.avg(F.coalesce(c, F.lit(False)).cast("double"))
+    return _turn_pairs(spark, sf_dir).groupBy("role").agg(share(loose).alias("exact_match"), share(strict).alias("strict_match"))
+
+
 @query("yes_no_parse", """
 SELECT r, count(*) AS n FROM (SELECT CASE WHEN x IN ('yes', 'no') THEN x WHEN x = 'y' THEN 'yes' WHEN x = 'n' THEN 'no' WHEN contains(left(x, 4), 'yes') THEN 'yes' WHEN contains(left(x, 4), 'no') THEN 'no' ELSE 'other' END AS r
   FROM (SELECT lower(trim(CASE event_type WHEN 'click' THEN 'Yes, it is' WHEN 'view' THEN ' N' WHEN 'error' THEN 'not so' ELSE event_type END)) AS x FROM events) y) z GROUP BY r""")
@@ -83,6 +105,25 @@ def jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "conversations").select("conv_id", "turn", S.jaccard(a, b).alias("jaccard"), S.set_equality(a, b).alias("same_set"))
 
 
+_WA, _WB = (f"list_distinct(list_filter(string_split_regex(trim({x}), '\\s+'), lambda w: w <> ''))" for x in ("text", "ref"))
+
+
+@query("token_f1_turns", f"""
+SELECT conv_id, turn, CASE WHEN len(list_intersect({_WA}, {_WB})) = 0 THEN 0.0 ELSE 2.0 * len(list_intersect({_WA}, {_WB})) / (len({_WA}) + len({_WB})) END AS f1 FROM ({_NEXT}) p""")
+def token_f1_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``token_f1`` on whole turns, each against the next."""
+    return _turn_pairs(spark, sf_dir).select("conv_id", "turn", T.token_set_f1(F.col("text"), F.col("ref")).alias("f1"))
+
+
+@query("jaccard_turns", f"""
+SELECT conv_id, turn, CASE WHEN len(list_distinct(list_concat({_WA}, {_WB}))) = 0 THEN 1.0
+  ELSE CAST(len(list_intersect({_WA}, {_WB})) AS DOUBLE) / len(list_distinct(list_concat({_WA}, {_WB}))) END AS jaccard, list_sort({_WA}) = list_sort({_WB}) AS same_set FROM ({_NEXT}) p""")
+def jaccard_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``jaccard`` on whole turns, each against the next."""
+    a, b = T.words(F.col("text")), T.words(F.col("ref"))
+    return _turn_pairs(spark, sf_dir).select("conv_id", "turn", S.jaccard(a, b).alias("jaccard"), S.set_equality(a, b).alias("same_set"))
+
+
 @query("sequence_scores", """
 WITH v AS (SELECT l_orderkey, list(l_returnflag ORDER BY l_linenumber, l_returnflag, l_linestatus) AS a, list(CASE l_linestatus WHEN 'O' THEN 'N' ELSE 'R' END ORDER BY l_linenumber, l_returnflag, l_linestatus) AS b FROM lineitem GROUP BY 1)
 SELECT l_orderkey, a = b AS same, CAST(len(list_filter(range(1, len(a) + 1), lambda i: a[i] = b[i])) AS DOUBLE) / len(b) AS position_accuracy,
