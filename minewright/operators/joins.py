@@ -37,6 +37,30 @@ def following(rows: DataFrame, by: str, order: list[str], value: str, name: str)
     return placed.join(after, "_rank").where(F.col(by).eqNullSafe(F.col("_by"))).drop("_rank", "_by")
 
 
+def _substrings(c: Column, longest: int | None) -> Column:
+    """All different substrings of up to ``longest`` letters, the empty one too."""
+    n = F.length(c)
+    sizes = F.sequence(F.lit(1), n if longest is None else F.least(n, F.lit(longest)))
+    cuts = F.flatten(F.transform(sizes, lambda k: F.transform(F.sequence(F.lit(1), n - k + 1), lambda i: F.substr(c, i, k))))
+    return F.array_union(F.array(F.lit("")), F.when(n > 0, cuts).otherwise(F.array().cast("array<string>")))
+
+
+def least_contained(asked: DataFrame, names: DataFrame, longest: int | None = None) -> DataFrame:
+    """``group, text, least``: per asked text the smallest key of a name of its group that holds it or that it holds.
+
+    ``asked`` has ``group, text``, ``names`` has ``group, text, key``; no asked text is longer than ``longest``, if given.
+    A text holds another if that is one of its substrings, so both sides meet in equal strings and no pair is tried that
+    is no match; equal texts are one row before.  Substrings grow with the square of a name's length, not with a group.
+    """
+    asked = asked.where("text IS NOT NULL").distinct()
+    names = names.where("text IS NOT NULL").groupBy("group", "text").agg(F.min("key").alias("key"))
+    held = names.select("group", F.explode(_substrings(F.col("text"), longest)).alias("text"), "key").groupBy("group", "text").agg(F.min("key").alias("key"))
+    holding = asked.join(held, ["group", "text"]).select("group", "text", "key")
+    parts = asked.select("group", F.col("text").alias("whole"), F.explode(_substrings(F.col("text"), None)).alias("text"))
+    holds = parts.join(names, ["group", "text"]).select("group", F.col("whole").alias("text"), "key")
+    return holding.union(holds).groupBy("group", "text").agg(F.min("key").alias("least"))
+
+
 def upsert(old: DataFrame, new: DataFrame, keys: list[str], priority: str, seq: str) -> DataFrame:
     """Per key the row of highest ``priority``, then of greatest ``seq``."""
     both = old.unionByName(new, allowMissingColumns=True)

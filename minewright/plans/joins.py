@@ -116,6 +116,19 @@ SELECT image, min(n.p_partkey) AS file FROM q JOIN n ON n.p_brand = q.p_brand AN
 def fuzzy_name_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Names matched within their group by containment of alphanumeric stems either way, the first by key."""
     names = table(spark, sf_dir, "part").select("p_partkey", "p_brand", F.regexp_replace(F.lower("p_name"), "[^a-z0-9]", "").alias("stem"))
-    asked = names.where("p_partkey % 10 = 0").select(F.col("p_partkey").alias("image"), F.col("p_brand").alias("b"), F.substring("stem", 1, 5).alias("cut"))
-    match = (names.p_brand == asked.b) & (F.contains(names.stem, asked.cut) | F.contains(asked.cut, names.stem))
-    return asked.join(names, match).groupBy("image").agg(F.min("p_partkey").alias("file"))
+    return _least_file(names.where("p_partkey % 10 = 0").withColumn("text", F.substring("stem", 1, 5)), names, 5)
+
+
+def _least_file(asked: DataFrame, names: DataFrame, longest: int | None) -> DataFrame:
+    asked = asked.select(F.col("p_partkey").alias("image"), F.col("p_brand").alias("group"), "text")
+    found = J.least_contained(asked.select("group", "text"), names.select(F.col("p_brand").alias("group"), F.col("stem").alias("text"), F.col("p_partkey").alias("key")), longest)
+    return asked.join(found, ["group", "text"]).select("image", F.col("least").alias("file"))
+
+
+@query("fuzzy_name_match_all", """
+WITH n AS (SELECT p_partkey, regexp_replace(lower(p_name), '[^a-z0-9]', '', 'g') AS stem, p_brand FROM part)
+SELECT q.p_partkey AS image, min(n.p_partkey) AS file FROM n q JOIN n ON n.p_brand = q.p_brand AND (contains(n.stem, q.stem) OR contains(q.stem, n.stem)) GROUP BY 1""")
+def fuzzy_name_match_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``fuzzy_name_match`` for all parts, by whole stems."""
+    names = table(spark, sf_dir, "part").select("p_partkey", "p_brand", F.regexp_replace(F.lower("p_name"), "[^a-z0-9]", "").alias("stem"))
+    return _least_file(names.withColumn("text", F.col("stem")), names, None)

@@ -48,3 +48,26 @@ def test_turn_scores_see_the_end_of_a_turn(spark, tmp_path):
     assert {r.exact_match for r in CATALOG["exact_match_turns"].run(spark, sf_dir).collect()} == {0.0}
     assert CATALOG["token_f1_turns"].run(spark, sf_dir).count() == len(pairs) == CATALOG["jaccard_turns"].run(spark, sf_dir).count()
     assert min(len(r.marked) for r in CATALOG["image_mark_whole"].run(spark, sf_dir).collect()) > 400
+
+
+def test_response_queries_take_all_events(spark, tmp_path):
+    rows = [(i, i % 3, "click" if i % 5 else "view", f'{{"k": {i}}}') for i in range(60)]
+    spark.createDataFrame(rows, "event_id long, user_id long, event_type string, props string").write.parquet(f"{tmp_path}/events.parquet")
+    numbers = {r.user_id: r.numbers for r in CATALOG["filter_regex_all"].run(spark, str(tmp_path)).collect()}
+    assert numbers == {u: [str(i) for i in range(60) if i % 3 == u] for u in range(3)}
+    assert {r.vote for r in CATALOG["majority_vote_all"].run(spark, str(tmp_path)).collect()} == {"click"}
+    assert all(r.accuracy == 1.0 for r in CATALOG["consensus_accuracy_all"].run(spark, str(tmp_path)).collect())
+    kept = {r.user_id: r.kept for r in CATALOG["filter_chain_all"].run(spark, str(tmp_path)).collect()}
+    assert kept == {0: ["B", "A"], 1: ["A", "A"], 2: ["A", "B"]}
+
+
+def test_names_match_by_whole_stems_without_pairs(spark, tmp_path):
+    names = ["Red Lamp", "red-lamp 2", "lamp", "", "green lamb", "greenlambs", "Old Lamp", "x", "old"] + ["Same Name"] * 40
+    rows = [(i + 1, n, f"b{i % 2}") for i, n in enumerate(names)]
+    spark.createDataFrame(rows, "p_partkey long, p_name string, p_brand string").write.parquet(f"{tmp_path}/part.parquet")
+    got = {r.image: r.file for r in CATALOG["fuzzy_name_match_all"].run(spark, str(tmp_path)).collect()}
+    stem = {k: "".join(c for c in n.lower() if c.isascii() and c.isalnum()) for k, n, _ in rows}
+    brand = {k: b for k, _, b in rows}
+    assert got == {k: min(j for j in stem if brand[j] == brand[k] and (stem[j] in stem[k] or stem[k] in stem[j])) for k in stem}
+    plan = CATALOG["fuzzy_name_match"].run(spark, str(tmp_path))._jdf.queryExecution().optimizedPlan().toString()
+    assert "Contains" not in plan and "contains" not in plan
