@@ -206,6 +206,11 @@ def _often(parts: int):
     return run
 
 
+def _nodes(docs: DataFrame) -> DataFrame:
+    """A row for each distinct set that has frequent columns; copies go before and after the shuffle, not into a group of ``_rows``."""
+    return docs.where("node IS NOT NULL AND length(often) > 0").groupBy("node").agg(F.first("n").alias("n"), F.first("often").alias("often"))
+
+
 def _rows(key: tuple[pa.Scalar, ...], t: pa.Table) -> pa.Table:
     """Rows that can have a partner, with their leading columns and all shared ones."""
     node, n, s, df = (np.frombuffer(b"".join(t[c].to_pylist()), k) for c, k in (("node", "<i8"), ("n", "<u4"), ("s", "<u8"), ("df", "<u4")))
@@ -315,7 +320,7 @@ def ngram_components(documents: DataFrame, block_entries: int = 4_000_000) -> Da
     blocks = max(shuffle_width(spark), -(-entries // block_entries))
     shared = (
         texts.select("text").mapInArrow(_entries(seed, frequent, blocks), _BLOCK_DDL).groupBy("block").applyInArrow(_shared(blocks), _SHARED_DDL)
-        .union(docs.where("node IS NOT NULL").select("node", "n", "often").mapInArrow(_often(blocks), _SHARED_DDL))
+        .union(_nodes(docs).mapInArrow(_often(blocks), _SHARED_DDL))
     )
     rows = stage(shared.groupBy("part").applyInArrow(_rows, "node long, n long, lead array<long>, shared binary"), "ngram-rows")
     comps = connected_components(stage(link_rows(rows), "ngram-links"))

@@ -152,6 +152,28 @@ def jaccard_components(rows):
     return Counter((d, len(s), least.get(find(i), d) if s else d) for i, ((d, _), s) in enumerate(zip(rows, sets, strict=True)))
 
 
+def test_frequent_columns_are_dealt_once_for_all_copies(make_docs, monkeypatch, tmp_path):
+    often = ngram_join._often
+
+    def counting(parts):
+        inner = often(parts)
+
+        def run(batches):
+            for batch in inner(batches):
+                with open(f"{tmp_path}/rows", "a") as f:
+                    f.write("x" * batch.num_rows)
+                yield batch
+
+        return run
+
+    monkeypatch.setattr(ngram_join, "_often", counting)
+    copied, other = prose(random.Random(1), 50), prose(random.Random(2), 50)
+    rows = [(i, copied) for i in range(200)] + [(200, other)]
+    got = {r.doc_id: r.component_id for r in ngram_join.ngram_components(make_docs(rows)).collect()}
+    assert got == {i: 0 for i in range(200)} | {200: 200}
+    assert (tmp_path / "rows").read_text() == "x"
+
+
 def test_ngram_components_equal_brute_force(make_docs, rows):
     got = Counter((r.doc_id, r.n_shingles, r.component_id) for r in ngram_join.ngram_components(make_docs(rows)).collect())
     assert got == jaccard_components(rows)
