@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from minewright.operators.sampling import ranked_within
+
 
 def perplexity(x: Column) -> Column:
     return F.exp(-F.avg(x))
@@ -29,9 +31,7 @@ def mean_stderr(x: Column) -> Column:
 
 def unsorted_median(values: DataFrame, by: list[str], value: str, seq: str) -> DataFrame:
     """The value at place ``n // 2`` in order of arrival, as the parity form of the median has it."""
-    w = Window.partitionBy(*by)
-    placed = values.withColumn("_n", F.count(F.lit(1)).over(w)).withColumn("_i", F.row_number().over(w.orderBy(seq)) - 1)
-    return placed.where(F.col("_i") == F.floor(F.col("_n") / 2)).select(*by, F.col(value).alias("median_unsorted"))
+    return ranked_within(values, by, [seq]).where(F.col("_rank") - 1 == F.expr("_count div 2")).select(*by, F.col(value).alias("median_unsorted"))
 
 
 def confusion(gold: Column, predicted: Column) -> dict[str, Column]:

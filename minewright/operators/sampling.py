@@ -29,6 +29,38 @@ def ranked(rows: DataFrame, order: list[Column], name: str = "_rank") -> DataFra
     return inner.join(F.broadcast(before), "_p").withColumn(name, F.col("_n") + F.coalesce("_before", F.lit(0))).drop("_p", "_o", "_n", "_before")
 
 
+def ranked_within(rows: DataFrame, by: list[str], order: list[str], size: str | None = None) -> DataFrame:
+    """Per group ``_rank`` from 1, ``_count`` of all its rows and ``_run``, the sum of ``size`` up to a row.
+
+    Rows are range-sorted by group and order; a task sees a group's rows of one range, and the sums and counts of the
+    ranges before it, a row per group and range, give the rest.
+    """
+    width = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # Written once, so that a row's range is the same for both uses.
+    placed = stage(rows.repartitionByRange(width, *by, *order).withColumn("_p", F.spark_partition_id()), "ranked-within")
+    amount = F.coalesce(F.col(size), F.lit(0)) if size else F.lit(0)
+    here = Window.partitionBy(*by, "_p").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    inner = placed.withColumn("_n", F.row_number().over(here)).withColumn("_s", F.sum(amount).over(here))
+    ranges = placed.groupBy(*by, "_p").agg(F.count(F.lit(1)).alias("_size"), F.sum(amount).alias("_sum"))
+    whole = Window.partitionBy(*by)
+    before = whole.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = ranges.select(
+        *[F.col(b).alias(f"_by{i}") for i, b in enumerate(by)], F.col("_p").alias("_q"), F.sum("_size").over(whole).alias("_count"),
+        F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_rows_before"), F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_sum_before"))
+    same = F.col("_p") == F.col("_q")
+    for i, b in enumerate(by):
+        same = same & F.col(b).eqNullSafe(F.col(f"_by{i}"))
+    joined = inner.join(offsets, same)
+    return joined.select(*rows.columns, (F.col("_n") + F.col("_rows_before")).alias("_rank"), "_count", (F.col("_s") + F.col("_sum_before")).alias("_run"))
+
+
+def ntile(rows: DataFrame, by: list[str], order: list[str], parts: int, name: str) -> DataFrame:
+    """Each group in ``parts`` even parts in order, the larger ones first."""
+    q, r, at = F.expr(f"_count div {parts}"), F.expr(f"_count % {parts}"), F.col("_rank") - 1
+    tile = F.when(at < r * (q + 1), F.floor(at / (q + 1))).otherwise(r + F.floor((at - r * (q + 1)) / F.greatest(q, F.lit(1))))
+    return ranked_within(rows, by, order).select(*rows.columns, (tile + 1).cast("int").alias(name))
+
+
 def wanted(strategy: str, n: int) -> tuple[str, int]:
     """``first:2``, ``end:10%``, ``random:5``, ``all`` as a kind and a count; shares round up."""
     kind, _, size = strategy.partition(":")
@@ -122,5 +154,5 @@ def windows(tokens: Column, max_len: int, context: int = 1) -> Column:
 
 def running_buckets(rows: DataFrame, by: list[str], order: str, size: str, limit: int) -> DataFrame:
     """``bucket``: how often the running size has passed the limit before a row."""
-    run = F.sum(size).over(Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, 0))
-    return rows.withColumn("bucket", F.floor((run - F.col(size)) / limit))
+    placed = ranked_within(rows, by, [order], size)
+    return placed.select(*rows.columns, F.floor((F.col("_run") - F.col(size)) / limit).alias("bucket"))

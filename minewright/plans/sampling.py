@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from minewright.operators import filters as R
@@ -43,7 +43,7 @@ def top_n_per_group(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("ntile_split", "SELECT lang, doc_id, CAST(ntile(4) OVER (PARTITION BY lang ORDER BY doc_id) AS INTEGER) AS part FROM documents")
 def ntile_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("lang", "doc_id", F.ntile(4).over(Window.partitionBy("lang").orderBy("doc_id")).alias("part"))
+    return P.ntile(table(spark, sf_dir, "documents").select("lang", "doc_id"), ["lang"], ["doc_id"], 4, "part")
 
 
 @query("shard_round_robin", "SELECT doc_id, CAST((row_number() OVER (ORDER BY doc_id) - 1) % 8 AS BIGINT) AS shard FROM documents")

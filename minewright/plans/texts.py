@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,8 +12,9 @@ from minewright.functions import boxes as B
 from minewright.functions import sets as S
 from minewright.functions import text as T
 from minewright.operators import joins as J
+from minewright.operators.sampling import ranked_within
 from minewright.plans.catalog import query
-from minewright.staging import table
+from minewright.staging import shuffle_width, table
 
 _NORMAL = r"array_to_string(list_filter(string_split_regex(trim(regexp_replace(lower({x}), '[!\"#$%&''()*+,\-./:;<=>?@\[\\\]^_`{{|}}~]', '', 'g')), '\s+'), lambda w: w NOT IN ('a', 'an', 'the', '')), ' ')"
 _TURNS = "SELECT conv_id, turn, role, text, left(text, 60) AS head FROM conversations"
@@ -190,10 +194,42 @@ def geo_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("hash_chain", """
 WITH h AS (SELECT source, doc_id, sha256(coalesce(text, '')) AS h FROM documents) SELECT source, sha256(string_agg(h, '' ORDER BY doc_id, h)) AS task_hash, count(*) AS n FROM h GROUP BY source""")
 def hash_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A digest per row, and per task the digest of its rows' digests in order; only digests are gathered."""
+    """A digest per row, and per task the digest of its rows' digests in order.
+
+    Sorted digests stream through one hash state per task, so that none is gathered; the digest of a string has to be
+    taken in order, so a task's digests pass through one worker.  ``hash_chain_runs`` is the form without that.
+    """
+    rows = table(spark, sf_dir, "documents").select("source", "doc_id", F.sha2(F.coalesce("text", F.lit("")), 256).alias("h"))
+
+    def chain(batches):
+        name, state, n = None, None, 0
+        for batch in batches:
+            for source, h in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                if state is None or source != name:
+                    if state is not None:
+                        yield pa.record_batch([pa.array([name], pa.string()), pa.array([state.hexdigest()]), pa.array([n])], names=["source", "task_hash", "n"])
+                    name, state, n = source, hashlib.sha256(), 0
+                state.update(h.encode())
+                n += 1
+        if state is not None:
+            yield pa.record_batch([pa.array([name], pa.string()), pa.array([state.hexdigest()]), pa.array([n])], names=["source", "task_hash", "n"])
+
+    placed = rows.repartition(shuffle_width(spark), "source").sortWithinPartitions("source", "doc_id", "h")
+    return placed.select("source", "h").mapInArrow(chain, "source string, task_hash string, n long")
+
+
+@query("hash_chain_runs", """
+WITH h AS (SELECT source, doc_id, sha256(coalesce(text, '')) AS h FROM documents),
+r AS (SELECT *, (row_number() OVER (PARTITION BY source ORDER BY doc_id, h) - 1) // 1000 AS run FROM h),
+d AS (SELECT source, run, sha256(string_agg(h, '' ORDER BY doc_id, h)) AS d, count(*) AS n FROM r GROUP BY 1, 2)
+SELECT source, sha256(string_agg(d, '' ORDER BY run)) AS task_hash, CAST(sum(n) AS BIGINT) AS n FROM d GROUP BY 1""")
+def hash_chain_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``hash_chain``, by runs of 1000 rows: a digest of each run's digests, and per task the digest of these."""
     rows = table(spark, sf_dir, "documents").select("source", "doc_id", F.sha2(F.coalesce("text", F.lit("")), 256).alias("h"))
-    chain = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("doc_id", "h"))), lambda r: r["h"]), "")
-    return rows.groupBy("source").agg(F.sha2(chain, 256).alias("task_hash"), F.count(F.lit(1)).alias("n"))
+    placed = ranked_within(rows, ["source"], ["doc_id", "h"]).withColumn("run", F.expr("(_rank - 1) div 1000"))
+    joined = lambda key, value: F.sha2(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct(key, value))), lambda r: r[value]), ""), 256)
+    runs = placed.groupBy("source", "run").agg(joined("_rank", "h").alias("d"), F.count(F.lit(1)).alias("n"))
+    return runs.groupBy("source").agg(joined("run", "d").alias("task_hash"), F.sum("n").alias("n"))
 
 
 @query("prompt_text", r"""

@@ -3,6 +3,9 @@
 import math
 import random
 
+import pytest
+
+from minewright.operators import sampling
 from minewright.operators.statistics import edit_distance
 from minewright.plans.catalog import CATALOG
 
@@ -71,3 +74,22 @@ def test_names_match_by_whole_stems_without_pairs(spark, tmp_path):
     assert got == {k: min(j for j in stem if brand[j] == brand[k] and (stem[j] in stem[k] or stem[k] in stem[j])) for k in stem}
     plan = CATALOG["fuzzy_name_match"].run(spark, str(tmp_path))._jdf.queryExecution().optimizedPlan().toString()
     assert "Contains" not in plan and "contains" not in plan
+
+
+def test_a_hot_group_is_ranked_in_ranges(spark):
+    rows = [("hot", i, i % 7) for i in range(500)] + [("b", i, 1) for i in range(9)] + [(None, i, 2) for i in range(3)]
+    random.Random(2).shuffle(rows)
+    df = spark.createDataFrame(rows, "g string, k long, s long").repartition(3)
+    got = sampling.ranked_within(df, ["g"], ["k"], "s").collect()
+    assert sorted((str(r.g), r.k, r["_rank"], r["_count"], r["_run"]) for r in got) == sorted(
+        (str(g), k, k + 1, sum(x[0] == g for x in rows), sum(x[2] for x in rows if x[0] == g and x[1] <= k)) for g, k, _ in rows)
+    tiles = {(r.g, r.k): r.t for r in sampling.ntile(df, ["g"], ["k"], 4, "t").collect()}
+    assert [tiles["b", k] for k in range(9)] == [1, 1, 1, 2, 2, 3, 3, 4, 4] and [tiles[None, k] for k in range(3)] == [1, 2, 3]
+
+
+@pytest.mark.parametrize("name", ["hash_chain", "size_buckets", "ntile_split", "median_unsorted"])
+def test_no_group_is_gathered_or_ranked_whole(spark, name):
+    plan = CATALOG[name].run(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list" not in plan
+    for line in plan.splitlines():
+        assert "Window [" not in line or "_p#" in line or "_size" in line
