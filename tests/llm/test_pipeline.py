@@ -40,3 +40,14 @@ def test_run_packs_what_is_left(spark, tmp_path):
     sf_dir, texts, _ = corpus(spark, tmp_path)
     rows = run(spark, sf_dir).collect()
     assert len(STAGES) == 5 and {r.doc_id for r in rows} <= set(texts) and len(rows) > 70
+
+
+def test_near_copies_go_by_row(spark):
+    rng = random.Random(3)
+    say = lambda: " ".join("w%d" % rng.randrange(999) for _ in range(60))
+    base, other, third = say(), say(), say()
+    rows = [(1, base), (2, base + " tail"), (2, other), (None, third), (None, third + " tail"), (5, other + " x"), (5, other + " y"), (7, None), (8, "")]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], DOCS).repartition(3)
+    kept = sorted(((r.doc_id, r.text) for r in drop_near_copies(spark, docs, "").collect()), key=repr)
+    assert len(kept) == 5 and {(1, base), (2, other), (7, None), (8, "")} <= set(kept)
+    assert [t for i, t in kept if i is None] in ([third], [third + " tail"])
