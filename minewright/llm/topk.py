@@ -18,9 +18,10 @@ only heads, cutoffs and final entries are shuffled.
 
 Defined cases: vectors that are null, empty, or hold null or non-finite
 components take no part, on either side; vectors of another length than the
-query's are no candidates; a null id takes no part; a repeated vec_id counts as
-one row, the one with the greatest vector; ties go to the smaller vec_id; a
-score beyond 64 bits raises an error instead of wrapping.
+query's are no candidates; a null id takes no part; equal rows count once; all
+rows of a repeated vec_id take part, and as queries share one list, but are no
+candidates of their own id; ties go to the smaller vec_id; a score beyond 64
+bits raises an error instead of wrapping.
 """
 
 from __future__ import annotations
@@ -43,10 +44,10 @@ def usable(vector: Column) -> Column:
 def pack_blocks(vectors: DataFrame, per_block: int, n_rows: int) -> DataFrame:
     """``block, dim, ids binary, data binary`` of ``id, v`` rows: blocks of about ``per_block`` vectors of one length.
 
-    A row's block is a hash of its id, so that repeated ids meet in one block and count once.
+    Equal rows count once; rows of one id with other vectors all stay.
     """
     n_blocks = max(1, -(-n_rows // per_block))
-    keyed = vectors.groupBy("id").agg(F.max("v").alias("v")).withColumn("block", F.pmod(F.xxhash64("id"), F.lit(n_blocks)))
+    keyed = vectors.select("id", "v").distinct().withColumn("block", F.pmod(F.xxhash64("id"), F.lit(n_blocks)))
 
     def pack(key: tuple[pa.Scalar, ...], t: pa.Table) -> pa.Table:
         order = np.argsort(t["id"].to_numpy())

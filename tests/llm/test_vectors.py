@@ -34,6 +34,16 @@ def test_topk_equals_brute_force(spark, blocks):
     assert got == want
 
 
+@pytest.mark.parametrize("blocks", [(2048, 4096), (3, 7)])
+def test_topk_keeps_other_vectors_of_a_repeated_id(spark, blocks):
+    rng = np.random.default_rng(4)
+    rows = [(i % 30, rng.integers(-9, 10, 5).astype(float).tolist()) for i in range(60)]
+    got = topk_search(frame(spark, rows), frame(spark, [r for r in rows if r[0] % 10 == 0]), k=6, query_block=blocks[0], candidate_block=blocks[1]).collect()
+    for q in (0, 10, 20):
+        best = sorted((-int(np.dot(x, y)), c) for i, x in rows if i == q for c, y in rows if c != q)[:6]
+        assert sorted((-r.score, r.vec_id) for r in got if r.query_id == q) == best
+
+
 def test_topk_is_exact_beyond_floats_and_refuses_overflow(spark):
     big = 2.0**27
     rows = [(0, [big, big, 1.0]), (1, [big, big, 0.0]), (2, [big, big, 1.0])]
