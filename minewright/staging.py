@@ -47,6 +47,13 @@ def drop_staged(*frames: DataFrame) -> None:
             where.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def small_batches(spark: SparkSession, size: int = 8 << 20) -> None:
+    """Let Arrow batches to Python have ``size`` bytes at most, unless the session asks for another size than Spark's own."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(name, "") == "67108864b":
+        spark.conf.set(name, str(size))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
