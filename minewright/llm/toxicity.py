@@ -2,77 +2,181 @@
 
 A text's features are its distinct words and their beginnings of four to
 eight letters.  The model is a logistic regression on the features that tell the
-classes apart in a bounded sample of labelled texts.  Sampled sentences that
-name a group of people are read a second and third time with the name swapped
-for another group's, and the fit penalises the square of the change of their
-score, so that the mention itself carries no weight.
-
-The sample (``max_train`` texts, chosen by a hash of the id) is turned into
-features where the texts are and fitted in one task; the model is a table of at
-most ``max_features`` weights.  Every text is then scored whole.
+classes apart in a bounded sample of labelled texts.  Sampled texts that name a
+group of people are read again with the name swapped for the next names of its
+kind, and the fit penalises the square of the change of their score, so that the
+mention itself carries no weight.  Features of the names always belong to the
+model, so that the penalty has something to hold.
+
+The sample (``max_train`` texts, chosen by a hash of the id) is written once.
+Its features are counted by class in blocks of features, the best of each block
+are candidates, and only the chosen ones of each text (``max_features`` at most)
+reach the one task that fits.  Every text is then scored whole, by an Arrow
+function of the text alone.
 
 Defined cases: null and empty texts have no feature and get the score of the
 intercept; repeated labels of a document count once, as toxic if any says so;
 null labels and null ids teach nothing; without any labelled text, or with
 labels of one kind only, the score is that share (0 without labels); extra
-columns are not read.
+columns are not read; a run of letters over 130,000 characters is read in
+parts.
 """
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from minewright.llm.words import Remembered, beside, fold, hash_sample, letter_words
+from minewright.llm.words import Runs, fold, hash_sample, letter_runs, letter_words
+from minewright.staging import drop_staged, shuffle_width, stage
 
 #: Names of groups, by kind; a name is swapped for others of its kind and language.
 IDENTITY_TERMS = [
     ["women", "men"], ["woman", "man"], ["girls", "boys"], ["muslims", "christians", "jews", "hindus", "buddhists", "atheists"],
     ["muslim", "christian", "jewish", "hindu", "buddhist", "atheist"], ["gay", "lesbian", "straight", "bisexual", "transgender"],
     ["black", "white", "asian", "latino", "african", "european"], ["immigrants", "refugees", "natives"], ["deaf", "blind", "disabled"],
-    ["femmes", "hommes"], ["musulmans", "chrétiens", "juifs"], ["immigrés", "réfugiés"],
-    ["frauen", "männer"], ["muslime", "christen", "juden"], ["ausländer", "flüchtlinge"],
-    ["mujeres", "hombres"], ["musulmanes", "cristianos", "judíos"], ["inmigrantes", "refugiados"],
+    ["he", "she"], ["him", "her"],
+    ["femmes", "hommes"], ["musulmans", "chrétiens", "juifs"], ["immigrés", "réfugiés"], ["elle", "il"], ["elles", "ils"],
+    ["frauen", "männer"], ["muslime", "christen", "juden"], ["ausländer", "flüchtlinge"], ["er", "sie"],
+    ["mujeres", "hombres"], ["musulmanes", "cristianos", "judíos"], ["inmigrantes", "refugiados"], ["él", "ella"],
 ]
-
-
-def features_of(word: str) -> tuple[int, ...]:
-    """Feature numbers of a word: itself and its beginnings."""
-    named = ["=" + word] + [f"{word[:n]}*" for n in (4, 5, 6, 7, 8) if len(word) >= n]
-    return tuple(zlib.crc32(x.encode("utf-8", "surrogatepass")) >> 1 for x in named)
+PREFIXES = (4, 5, 6, 7, 8)
+_BASE = 0x9E3779B97F4A7C15
+#: The most terms that a caller's table may have; they are held by every task.
+MAX_TERMS = 10_000
+
+
+def _mix(h: np.ndarray, kind: int) -> np.ndarray:
+    h = (h ^ np.uint64(kind)) * np.uint64(0xD6E8FEB86659FD93)
+    h ^= h >> np.uint64(32)
+    h *= np.uint64(0xD6E8FEB86659FD93)
+    return (h >> np.uint64(33)).astype(np.int64)
+
+
+def run_features(r: Runs) -> tuple[np.ndarray, np.ndarray]:
+    """Feature numbers of all runs, with the number of the text each comes from; a run gives itself and its beginnings."""
+    longest = int(r.size.max(initial=0))
+    power = np.full(longest + 1, _BASE, np.uint64)
+    power[0] = 1
+    np.multiply.accumulate(power, out=power)
+    at = np.arange(r.size.sum()) - np.repeat(np.cumsum(r.size) - r.size, r.size)  # place in the run
+    code = r.codes[np.repeat(r.start, r.size) + at].astype(np.uint64) + np.uint64(0x51ED2701)
+    sums = np.zeros(len(at) + 1, np.uint64)
+    np.cumsum((code * code) * power[at], out=sums[1:])
+    begin = np.cumsum(r.size) - r.size
+    features, owners = [_mix(sums[begin + r.size] - sums[begin], 0)], [r.owner]
+    for n in PREFIXES:
+        has = r.size >= n
+        features.append(_mix(sums[begin[has] + n] - sums[begin[has]], n))
+        owners.append(r.owner[has])
+    return np.concatenate(features), np.concatenate(owners)
+
+
+def distinct_features(texts: pa.Array) -> Iterator[tuple[int, np.ndarray]]:
+    """Number of each text that has letters, and its distinct features in order."""
+    held: list[np.ndarray] = []
+    last = -1
+    for r in letter_runs(texts):
+        f, who = run_features(r)
+        order = np.argsort(who, kind="stable")
+        f, who = f[order], who[order]
+        cuts = np.flatnonzero(np.diff(who)) + 1
+        for a, b in zip(np.append(0, cuts), np.append(cuts, len(who)), strict=True):
+            if a < b:
+                if who[a] != last and held:
+                    yield last, np.unique(np.concatenate(held))
+                    held = []
+                last = int(who[a])
+                held.append(np.unique(f[a:b]))
+    if held:
+        yield last, np.unique(np.concatenate(held))
 
 
 def swapped(words: list[str], step: int, kinds: dict[str, list[str]]) -> list[str] | None:
-    """The words with each group's name replaced by the ``step``-th next of its kind; None if there is none."""
+    """The words with each group's name replaced by the ``step``-th next of its kind; None if nothing changes."""
     if kinds.keys().isdisjoint(words):
         return None
-    return [k[(k.index(w) + step) % len(k)] if (k := kinds.get(w)) else w for w in words]
+    other = [k[(k.index(w) + step) % len(k)] if (k := kinds.get(w)) else w for w in words]
+    return None if other == words else other
+
+
+@dataclass
+class ToxicityModel:
+    """``weights`` by feature, the intercept, and what the fit saw: labelled texts, counterfactual pairs, and those pairs that move a weight."""
 
+    weights: dict[int, float] = field(default_factory=dict)
+    intercept: float = -30.0
+    texts: int = 0
+    pairs: int = 0
+    pairs_used: int = 0
+
+
+def _count_blocks(blocks: int):
+    """Counts of features by class, dealt to blocks of features."""
 
-def _sample_features(terms: list[list[str]]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = {w: k for k in terms for w in k}
-        known = Remembered(features_of)
         for batch in batches:
-            rows: list[list] = [[], [], []]
-            for text, label in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
-                words = sorted(set(letter_words(text.as_py())))
-                base = {f for w in words for f in known[w]}
-                known.trim()
-                for r, x in zip(rows, (label, sorted(base), 0), strict=True):
-                    r.append(x)
+            label = batch.column(1).to_numpy()
+            seen: list[list[np.ndarray]] = [[], []]
+            for i, f in distinct_features(batch.column(0)):
+                seen[int(label[i] > 0)].append(f)
+            names = np.unique(np.concatenate([np.zeros(0, np.int64), *seen[0], *seen[1]]))
+            count = [np.bincount(np.searchsorted(names, np.concatenate([np.zeros(0, np.int64), *s])), None, len(names)) for s in seen]
+            block = (names % blocks).astype(np.int32)
+            order = np.argsort(block, kind="stable")
+            parts = [i for i in np.split(order, np.flatnonzero(np.diff(block[order])) + 1) if len(i)]
+            yield pa.record_batch([pa.array([int(block[i[0]]) for i in parts], pa.int32()), *(pa.array([x[i].astype("<i8").tobytes() for i in parts], pa.binary()) for x in (names, count[1], count[0]))], names=["block", "f", "yes", "no"])
+
+    return run
+
+
+def _best_features(pos: int, neg: int, keep: int):
+    """The features of a block that tell the classes apart, the surest ``keep`` of them."""
+
+    def run(key: tuple[pa.Scalar, ...], t: pa.Table) -> pa.Table:
+        f, yes, no = (np.frombuffer(b"".join(t[c].to_pylist()), "<i8") for c in ("f", "yes", "no"))
+        names, at = np.unique(f, return_inverse=True)
+        yes, no = np.bincount(at, yes), np.bincount(at, no)
+        odds = np.log((yes + 0.5) / (pos + 1)) - np.log((no + 0.5) / (neg + 1))
+        sure = np.abs(odds) / np.sqrt(1 / (yes + 0.5) + 1 / (no + 0.5))
+        best = np.lexsort((names, -sure))[:keep]
+        best = best[(sure[best] > 3) & (yes + no > 2)[best]]
+        return pa.table({"f": pa.array(names[best], pa.int64()), "sure": pa.array(sure[best], pa.float64())})
+
+    return run
+
+
+_ROWS = "label int, step int, cells array<int>"
+
+
+def _design(kept: np.ndarray, kinds: dict[str, list[str]]):
+    """The chosen features of sampled texts as columns of the design; a swapped text as the difference to its original.
+
+    A column c that only the original has is ``c``, one that only the swapped text has is ``-c - 1``.
+    """
+
+    def columns(f: np.ndarray) -> np.ndarray:
+        slot = np.minimum(np.searchsorted(kept, f), max(len(kept) - 1, 0))
+        return slot[kept[slot] == f] if len(kept) else slot[:0]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts, label = batch.column(0), batch.column(1).to_pylist()
+            own = {i: columns(f) for i, f in distinct_features(texts)}
+            rows = [(label[i], 0, own.get(i, kept[:0]).astype(np.int32)) for i in range(len(texts))]
+            for i in own:
+                words = letter_words(texts[i].as_py())
                 for step in (1, 2):
                     if (other := swapped(words, step, kinds)) is not None:
-                        moved = {f for w in set(other) for f in known[w]} ^ base
-                        # A counterfactual pair is kept as its difference: its sign shows which side a feature is on.
-                        for r, x in zip(rows, (label, sorted(moved & base) + [-f - 1 for f in sorted(moved - base)], step), strict=True):
-                            r.append(x)
-            yield pa.record_batch([pa.array(rows[0], pa.int32()), pa.array(rows[1], pa.list_(pa.int32())), pa.array(rows[2], pa.int32())], names=["label", "f", "step"])
+                        new = next((columns(f) for _, f in distinct_features(pa.array([" ".join(other)]))), kept[:0])
+                        gone, come = np.setdiff1d(own[i], new), np.setdiff1d(new, own[i])
+                        rows.append((label[i], step, np.concatenate([gone, -come - 1]).astype(np.int32)))
+            yield pa.record_batch([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.int32()), pa.array([r[2] for r in rows], pa.list_(pa.int32()))], names=["label", "step", "cells"])
 
     return run
 
@@ -99,84 +203,93 @@ def fit_logistic(offsets: np.ndarray, cols: np.ndarray, y: np.ndarray, pairs: li
     return w
 
 
-def _fit(max_features: int, penalty: float, l2: float, steps: int):
+def _fit(n: int, penalty: float, l2: float, rounds: int):
     def run(key: tuple[pa.Scalar, ...], t: pa.Table) -> pa.Table:
-        step, label = t["step"].to_numpy(), t["label"].to_numpy().astype(float)
-        lists = t["f"].combine_chunks()
+        step, label = t["step"].to_numpy(), t["label"].to_numpy()
+        lists = t["cells"].combine_chunks()
         flat, at = lists.values.to_numpy(), lists.offsets.to_numpy().astype(np.int64)
-        y = label[step == 0]
-        pos, neg = y.sum(), len(y) - y.sum()
-        if not pos or not neg:
-            return pa.table({"feature": pa.array([None], pa.int64()), "weight": [np.log(pos / max(neg, 1e-6) + 1e-9) if len(y) else -30.0]})
-
-        def counted(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-            return np.unique(np.concatenate([flat[at[i] : at[i + 1]] for i in rows]), return_counts=True)
-
-        names, every = counted(np.flatnonzero(step == 0))
-        some, yes_of = counted(np.flatnonzero((step == 0) & (label > 0)))
-        yes = np.zeros(len(names))
-        yes[np.searchsorted(names, some)] = yes_of
-        no = every - yes
-        odds = np.log((yes + 0.5) / (pos + 1)) - np.log((no + 0.5) / (neg + 1))
-        sure = np.abs(odds) / np.sqrt(1 / (yes + 0.5) + 1 / (no + 0.5))
-        chosen = np.lexsort((names, -sure))[:max_features]
-        chosen = np.sort(chosen[(sure[chosen] > 3) & (every[chosen] > 2)])
-        kept = names[chosen]
-        del names, every, some, yes, no, odds, sure
-
-        def columns(f: np.ndarray) -> np.ndarray:
-            """Column of each feature, -1 for those not chosen."""
-            slot = np.minimum(np.searchsorted(kept, f), max(len(kept) - 1, 0))
-            return np.where(kept[slot] == f, slot, -1) if len(kept) else np.full(len(f), -1)
-
-        rows = [(label[i], c[c >= 0].tolist()) for i in np.flatnonzero(step == 0) for c in [columns(flat[at[i] : at[i + 1]])]]
-        rows.sort()  # any fixed order
-        y = np.array([r[0] for r in rows])
-        offsets = np.append(0, np.cumsum([len(r[1]) for r in rows]))
-        cells = np.array([c for r in rows for c in r[1]], np.int64)
-        pairs = []
-        for i in np.nonzero(step > 0)[0]:
-            d = flat[at[i] : at[i + 1]]
-            name, sign = np.where(d < 0, -d - 1, d), np.where(d < 0, -1.0, 1.0)
-            col = columns(name)
-            if (col >= 0).any():
-                pairs.append((col[col >= 0], sign[col >= 0]))
-        w = fit_logistic(offsets, cells, y, pairs, len(kept), penalty, l2, steps)
-        return pa.table({"feature": pa.array([*kept.tolist(), None], pa.int64()), "weight": w})
+        cells = [flat[at[i] : at[i + 1]] for i in range(len(step))]
+        # Any fixed order of the rows: by label, then by cells.
+        order = sorted(np.flatnonzero(step == 0).tolist(), key=lambda i: (label[i], cells[i].astype(">i4").tobytes()))
+        y = label[order].astype(float)
+        offsets = np.append(0, np.cumsum([len(cells[i]) for i in order]))
+        swaps = sorted((cells[i] for i in np.flatnonzero(step > 0)), key=lambda c: c.astype(">i4").tobytes())
+        pairs = [(np.where(c < 0, -c - 1, c), np.where(c < 0, -1.0, 1.0)) for c in swaps if len(c)]
+        w = fit_logistic(offsets, np.concatenate([cells[i] for i in order]).astype(np.int64), y, pairs, n, penalty, l2, rounds)
+        return pa.table({"weights": [w.tolist()], "pairs": pa.array([len(swaps)], pa.int64()), "used": pa.array([len(pairs)], pa.int64())})
 
     return run
 
 
+def term_kinds(terms: DataFrame | list[list[str]]) -> dict[str, list[str]]:
+    """Each term with all terms of its kind, from lists or from a table of ``kind, term`` with ``MAX_TERMS`` rows at most; lower-cased single words."""
+    if isinstance(terms, DataFrame):
+        rows = terms.select(F.col("kind").cast("string"), F.lower("term").alias("term")).where("kind IS NOT NULL AND term IS NOT NULL").distinct().limit(MAX_TERMS + 1).collect()
+        if len(rows) > MAX_TERMS:
+            raise ValueError(f"more than {MAX_TERMS} identity terms")
+        by: dict[str, list[str]] = {}
+        for r in sorted(rows):
+            by.setdefault(r.kind, []).append(r.term)
+        terms = list(by.values())
+    return {w: k for k in terms for w in k}
+
+
 def fit_toxicity(
-    documents: DataFrame, labels: DataFrame, max_train: int = 12_000, max_features: int = 4096,
-    penalty: float = 1.0, l2: float = 2e-5, rounds: int = 300, terms: list[list[str]] = IDENTITY_TERMS,
-) -> dict[int | None, float]:
-    """``feature -> weight``, the intercept under None. ``labels`` has ``doc_id, toxic``: those that may be learnt from."""
+    documents: DataFrame, labels: DataFrame, max_train: int = 16_000, max_features: int = 4096,
+    penalty: float = 1.0, l2: float = 2e-5, rounds: int = 300, terms: DataFrame | list[list[str]] = IDENTITY_TERMS,
+) -> ToxicityModel:
+    """Fit on ``labels`` (``doc_id, toxic``: those that may be learnt from); ``terms`` are lists of names, or a table of ``kind, term``."""
+    spark = documents.sparkSession
+    kinds = term_kinds(terms)
     known = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     chosen = known.where(hash_sample(F.col("doc_id"), max_train, known.count()))  # the bound is what allows the broadcast
-    sample = documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", F.col("toxic").cast("int").alias("label"))
-    rows = sample.mapInArrow(_sample_features(terms), "label int, f array<int>, step int")
-    model = rows.groupBy(F.lit(0).alias("all")).applyInArrow(_fit(max_features, penalty, l2, rounds), "feature long, weight double")
-    return {r.feature: r.weight for r in model.collect()} or {None: -30.0}  # max_features + 1 rows
-
-
-def score_toxicity(documents: DataFrame, model: dict[int | None, float]) -> DataFrame:
-    """``documents`` with a column ``score``: 0 to 1."""
-    documents, schema = beside(documents, "score double")
-    at = documents.columns.index("text")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Remembered(lambda w: tuple(f for f in features_of(w) if f in model))
-        for batch in batches:
-            scores = []
-            for text in batch.column(at):
-                hit = {f for w in set(letter_words(text.as_py())) for f in known[w]}
-                known.trim()
-                z = sum(sorted(model[f] for f in hit)) + model[None]
-                scores.append(1 / (1 + np.exp(-min(max(z, -30.0), 30.0))))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], names=[*batch.schema.names, "score"])
-
-    return documents.mapInArrow(run, schema)
+    sample = stage(documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", F.col("toxic").cast("int").alias("label")), "toxicity-sample")
+    texts, pos = sample.agg(F.count(F.lit(1)), F.coalesce(F.sum((F.col("label") > 0).cast("int")), F.lit(0))).first()
+    neg = texts - pos
+    if not pos or not neg:
+        drop_staged(sample)
+        return ToxicityModel(intercept=float(np.log(pos / max(neg, 1e-6) + 1e-9)) if texts else -30.0, texts=texts)
+    blocks = shuffle_width(spark)
+    ranked = sample.mapInArrow(_count_blocks(blocks), "block int, f binary, yes binary, no binary").groupBy("block").applyInArrow(_best_features(pos, neg, max_features), "f long, sure double")
+    best = [r.f for r in ranked.orderBy(F.desc("sure"), "f").limit(max_features).collect()]
+    names = [run_features(r)[0] for r in letter_runs(pa.array(sorted(kinds)))]
+    kept = np.unique(np.concatenate([np.array(best, np.int64), *names]))
+    rows = sample.mapInArrow(_design(kept, kinds), _ROWS)
+    fitted = rows.groupBy(F.lit(0).alias("all")).applyInArrow(_fit(len(kept), penalty, l2, rounds), "weights array<double>, pairs long, used long").first()
+    drop_staged(sample)
+    return ToxicityModel(dict(zip(kept.tolist(), fitted.weights[:-1], strict=True)), fitted.weights[-1], texts, fitted.pairs, fitted.used)
+
+
+def toxicity_score(text: Column, model: ToxicityModel) -> Column:
+    """Score of a text, 0 to 1, as an Arrow function; only the text travels to Python and only the score back."""
+    names = np.array(sorted(model.weights), np.int64)
+    weight = np.array([model.weights[f] for f in names.tolist()], np.float64)
+    intercept = model.intercept
+
+    @F.arrow_udf("double")
+    def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        near = np.zeros(1 << 22, bool)  # features that may be in the model, by their last bits
+        near[names & (len(near) - 1)] = True
+        for texts in batches:
+            hits: list[np.ndarray] = []
+            if len(names):
+                for r in letter_runs(texts):
+                    f, who = run_features(r)
+                    may = np.flatnonzero(near[f & (len(near) - 1)])
+                    f, who = f[may], who[may]
+                    slot = np.minimum(np.searchsorted(names, f), len(names) - 1)
+                    ok = names[slot] == f
+                    hits.append(np.unique(who[ok] * len(names) + slot[ok]))  # a text's distinct features
+            hit = np.unique(np.concatenate([np.zeros(0, np.int64), *hits]))
+            z = np.bincount(hit // max(len(names), 1), weight[hit % max(len(names), 1)] if len(hit) else None, len(texts)) + intercept
+            yield pa.array(1 / (1 + np.exp(-np.clip(z, -30.0, 30.0))), pa.float64())
+
+    return score(text)
+
+
+def score_toxicity(documents: DataFrame, model: ToxicityModel) -> DataFrame:
+    """``documents`` with a column ``score``, which replaces one of that name."""
+    return documents.drop("score").withColumn("score", toxicity_score(F.col("text"), model))
 
 
 THRESHOLD = 0.3

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import functools
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -25,6 +29,63 @@ def letter_words(text: str | None) -> list[str]:
     return [w for x in clean for w in x.split()]
 
 
+#: Characters worked on at a time; a longer text is read in parts, cut where no letter run is.
+WINDOW = 1 << 17
+
+
+@dataclass
+class Runs:
+    """Letter runs of some texts: ``codes`` of all characters, where a run starts, how long it is, and the number of its text."""
+
+    codes: np.ndarray
+    start: np.ndarray
+    size: np.ndarray
+    owner: np.ndarray
+
+
+@functools.cache
+def _letters() -> np.ndarray:
+    return np.fromiter(map(str.isalpha, map(chr, range(0x110000))), bool, 0x110000)
+
+
+def _parts(text: str, window: int) -> Iterator[str]:
+    """The text in parts of ``window`` characters at most, cut after the last character that is no letter, or anywhere in a run as long as that."""
+    while len(text) > window:
+        cut = next((i for i in range(window, 0, -1) if not text[i - 1].isalpha()), window)
+        yield text[:cut]
+        text = text[cut:]
+    yield text
+
+
+def letter_runs(texts: pa.Array, window: int = WINDOW) -> Iterator[Runs]:
+    """Lower-cased letter runs of all texts, about ``window`` characters at a time; owners never fall."""
+    held: list[str] = []
+    owner: list[int] = []
+    n = 0
+
+    def runs() -> Runs:
+        codes = np.frombuffer("\0".join(held).encode("utf-32-le", "surrogatepass"), np.uint32)
+        mask = np.zeros(len(codes) + 2, np.int8)
+        mask[1:-1] = _letters()[codes]
+        edge = np.diff(mask)
+        start, end = np.flatnonzero(edge > 0), np.flatnonzero(edge < 0)
+        begin = np.cumsum([0, *(len(h) + 1 for h in held)])[:-1]
+        return Runs(codes, start, end - start, np.array(owner, np.int64)[np.searchsorted(begin, start, "right") - 1])
+
+    for i, t in enumerate(texts):
+        if text := t.as_py():
+            for part in _parts(text, window):
+                part = part.lower()
+                if held and n + len(part) > window:
+                    yield runs()
+                    held.clear(), owner.clear()
+                    n = 0
+                held.append(part), owner.append(i)
+                n += len(part) + 1
+    if held:
+        yield runs()
+
+
 class Remembered(dict):
     """``word -> work(word)``, worked out once; emptied by ``trim`` when it has grown over its bound."""
 
