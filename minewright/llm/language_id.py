@@ -8,13 +8,15 @@ classifier separates the sample; a text whose two best codewords lie close is
 flagged as ambiguous.
 
 The classifiers are fitted in one task on a bounded sample of labelled texts
-(``max_train``, chosen by a hash of the id).  A word's n-grams give one vector
-of bit scores, so a whole text costs a sum over its words.
+(``max_train``, chosen by a hash of the id).  A whole text is read as counts of
+n-grams by bucket, in windows of bounded size, whose product with the weights
+gives its bit scores; only the text travels to Python and only the result back.
 
 Defined cases: null texts and texts without a letter are ``und`` with score 0;
 null languages and null ids teach nothing; with no labelled text everything is
 ``und``; with one language every text with letters is that language; ties go to
-the first language by name; extra columns are not read.
+the first language by name; extra columns are not read; a run of letters over
+130,000 characters is read in parts.
 """
 
 from __future__ import annotations
@@ -23,10 +25,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from minewright.llm.words import MEMORY, beside, fold, hash_sample, letter_words
+from minewright.llm.words import Runs, fold, hash_sample, letter_runs
 
 BUCKETS, ORDERS = 1 << 14, (1, 2, 3)
 #: Features are shares of a text's n-grams times this.
@@ -44,37 +46,54 @@ def code_matrix(n: int, seed: int = 5) -> np.ndarray:
     return tries[int(np.argmax(apart))]
 
 
-def ngram_buckets(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets of the n-grams of ``<word>`` for each word, one after the other, and how many each word has."""
-    text = "".join([f"<{w}>" for w in words])
-    c = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
-    size = np.fromiter(map(len, words), np.int64, len(words)) + 2
-    word = np.repeat(np.arange(len(words)), size)
-    left = np.repeat(np.cumsum(size), size) - np.arange(len(c))  # letters from here to the word's end
-    grams, owner = [], []
+def ngram_buckets(r: Runs) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of the n-grams of all runs, each as ``<run>``, and the number of the text each comes from."""
+    size = r.size + 2
+    begin = np.cumsum(size) - size
+    c = np.full(size.sum(), ord(">"), np.uint64)
+    c[begin] = ord("<")
+    at = np.arange(r.size.sum()) - np.repeat(np.cumsum(r.size) - r.size, r.size)  # place in the run
+    c[np.repeat(begin + 1, r.size) + at] = r.codes[np.repeat(r.start, r.size) + at]
+    left = np.repeat(begin + size, size) - np.arange(len(c))  # letters from here to the word's end
+    owner = np.repeat(r.owner, size)
+    grams, owners = [], []
     for n in ORDERS:
-        at = np.nonzero(left >= n)[0]
-        h = np.full(len(at), n, np.uint64)
+        m = max(len(c) - n + 1, 0)
+        h = np.full(m, n, np.uint64)
         for i in range(n):
-            h = (h ^ c[at + i]) * np.uint64(0x100000001B3)
+            h ^= c[i : i + m]
+            h *= np.uint64(0x100000001B3)
             h ^= h >> np.uint64(29)
-        grams.append(h)
-        owner.append(word[at])
-    owner = np.concatenate(owner)
-    order = np.argsort(owner, kind="stable")
-    return (np.concatenate(grams)[order] % np.uint64(BUCKETS)).astype(np.int64), np.bincount(owner, None, len(words))
+        whole = left[:m] >= n  # not over the end of a word
+        grams.append((h & np.uint64(BUCKETS - 1)).astype(np.int64)[whole])
+        owners.append(owner[:m][whole])
+    return np.concatenate(grams), np.concatenate(owners)
+
+
+def text_counts(texts: pa.Array) -> Iterator[tuple[int, np.ndarray]]:
+    """Number of each text that has letters, and how often it has the n-grams of each bucket; a long text comes in parts."""
+    for r in letter_runs(texts):
+        bucket, owner = ngram_buckets(r)
+        order = np.argsort(owner, kind="stable")
+        bucket, owner = bucket[order], owner[order]
+        cuts = np.flatnonzero(np.diff(owner)) + 1
+        for a, b in zip(np.append(0, cuts), np.append(cuts, len(owner)), strict=True):
+            if a < b:
+                yield int(owner[a]), np.bincount(bucket[a:b], None, BUCKETS)
 
 
 def _sample_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        langs, at, share = [], [], []
-        for text, lang in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
-            words = letter_words(text.as_py())
-            if words:
-                total = np.bincount(ngram_buckets(words)[0], None, BUCKETS)
-                langs.append(lang)
-                at.append(np.nonzero(total)[0].astype(np.int32))
-                share.append((SCALE * total[at[-1]] / total.sum()).astype(np.float32))
+        langs, at, share, last, total = [], [], [], -1, np.zeros(0)
+        of = batch.column(1).to_pylist()
+        for i, n in text_counts(batch.column(0)):
+            total = total + n if i == last else n
+            if i == last:
+                langs.pop(), at.pop(), share.pop()
+            last = i
+            langs.append(of[i])
+            at.append(np.flatnonzero(total).astype(np.int32))
+            share.append((SCALE * total[at[-1]] / total.sum()).astype(np.float32))
         yield pa.record_batch([pa.array(langs, pa.string()), pa.array(at, pa.list_(pa.int32())), pa.array(share, pa.list_(pa.float32()))], names=["lang", "at", "share"])
 
 
@@ -85,18 +104,21 @@ def _fit(rounds: int, l2: float):
         target = code[np.searchsorted(langs, t["lang"].to_pylist())].T  # bits x texts
         at, share = t["at"].combine_chunks(), t["share"].combine_chunks()
         row = np.repeat(np.arange(t.num_rows), np.diff(at.offsets.to_numpy()))
-        x = np.zeros((t.num_rows, BUCKETS + 1), np.float32)  # max_train rows of 64 KiB
-        x[row, at.values.to_numpy()] = share.values.to_numpy()
+        there, cell = np.unique(at.values.to_numpy(), return_inverse=True)  # buckets that no text has keep the weight 0
+        x = np.zeros((t.num_rows, len(there) + 1), np.float32)  # max_train rows of 64 KiB at most
+        x[row, cell] = share.values.to_numpy()
         x[:, -1] = 1
         y = (target.T > 0).astype(np.float32)
-        w, m, v = (np.zeros((BUCKETS + 1, y.shape[1]), np.float32) for _ in range(3))
+        w, m, v = (np.zeros((len(there) + 1, y.shape[1]), np.float32) for _ in range(3))
         for i in range(1, rounds + 1):
             e = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30))) - y
             g = x.T @ e / len(y) + l2 * w
             m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
             w -= 0.2 * (m / (1 - 0.9**i)) / (np.sqrt(v / (1 - 0.999**i)) + 1e-9)
         right = ((x @ w > 0) == (y > 0)).mean(axis=0)
-        out = [{"weights": np.ascontiguousarray(w[:-1, j]).astype("<f4").tobytes(), "bias": float(w[-1, j]), "trust": float(max(right[j] - 0.5, 0.01) * 2)} for j in range(y.shape[1])]
+        spread = np.zeros((BUCKETS, y.shape[1]), "<f4")
+        spread[there] = w[:-1]
+        out = [{"weights": np.ascontiguousarray(spread[:, j]).tobytes(), "bias": float(w[-1, j]), "trust": float(max(right[j] - 0.5, 0.01) * 2)} for j in range(y.shape[1])]
         return pa.table({"bit": list(range(len(out))), "langs": [langs] * len(out), **{k: [x[k] for x in out] for k in out[0]}})
 
     return run
@@ -131,54 +153,41 @@ def fit_language_id(labelled: DataFrame, max_train: int = 2_000, rounds: int = 8
     return Coder(list(bits[0].langs), np.stack([np.frombuffer(r.weights, "<f4") for r in bits], axis=1), np.array([r.bias for r in bits]), np.array([r.trust for r in bits]))
 
 
-class _TextBits:
-    """Bit scores of texts: a word's n-grams give one vector, a text the mean of its words' by their n-grams."""
-
-    def __init__(self, coder: Coder, bound: int = MEMORY):
-        self.coder, self.bound = coder, bound
-        self.ids: dict[str, int] = {}
-        self.sums = np.zeros((1024, len(coder.bias) + 1))
-
-    def learn(self, words: set[str]) -> None:
-        if len(self.ids) > self.bound:
-            self.ids = {}
-        if new := sorted(words - self.ids.keys()):
-            grams, size = ngram_buckets(new)
-            start, rows = len(self.ids), len(self.ids) + len(new)
-            if rows > len(self.sums):
-                self.sums = np.vstack([self.sums[:start], np.zeros((2 * rows - start, self.sums.shape[1]))])
-            self.sums[start:rows, :-1] = np.add.reduceat(self.coder.weights[grams].astype(float), np.cumsum(size) - size, axis=0)
-            self.sums[start:rows, -1] = size
-            self.ids.update(zip(new, range(start, rows), strict=True))
+def text_bits(texts: pa.Array, coder: Coder) -> tuple[np.ndarray, np.ndarray]:
+    """Bit scores of texts, and which of them have letters at all."""
+    weights = coder.weights.astype(np.float64)
+    total, grams = np.zeros((len(texts), weights.shape[1])), np.zeros(len(texts), np.int64)
+    for i, n in text_counts(texts):
+        total[i] += n @ weights
+        grams[i] += n.sum()
+    return SCALE * total / np.maximum(grams, 1)[:, None] + coder.bias, grams > 0
+
+
+def language_of(text: Column, coder: Coder | None, unsure: float = 0.1) -> Column:
+    """``struct<lang_pred, score, ambiguous>`` of a text, as an Arrow function; only the text travels to Python."""
+    kinds = pa.struct([("lang_pred", pa.string()), ("score", pa.float64()), ("ambiguous", pa.bool_())])
+
+    @F.arrow_udf("lang_pred string, score double, ambiguous boolean")
+    def identify(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            langs, scores, flags = np.full(len(texts), "und", object), np.zeros(len(texts)), np.ones(len(texts), bool)
+            if coder and len(texts):
+                bits, there = text_bits(texts, coder)
+                if there.any():
+                    best, scores[there], lead = coder.decode(bits[there])
+                    flags[there] = lead < unsure
+                    langs[there] = np.array(coder.langs, object)[best]
+            yield pa.StructArray.from_arrays([pa.array(langs.tolist(), pa.string()), pa.array(scores, pa.float64()), pa.array(flags, pa.bool_())], fields=list(kinds))
 
-    def __call__(self, texts: list[list[str]]) -> np.ndarray:
-        self.learn(set().union(*texts))
-        ids = self.ids
-        total = np.stack([self.sums[np.fromiter(map(ids.__getitem__, w), np.int64, len(w))].sum(axis=0) for w in texts])
-        return SCALE * total[:, :-1] / total[:, -1:] + self.coder.bias
+    return identify(text)
 
 
 def identify_languages(documents: DataFrame, coder: Coder | None, unsure: float = 0.1) -> DataFrame:
-    """``documents`` with ``lang_pred``, ``score`` (0 to 1) and ``ambiguous`` (lead under ``unsure``, or no letters)."""
-    documents, schema = beside(documents, "lang_pred string, score double, ambiguous boolean")
-    at = documents.columns.index("text")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits_of = _TextBits(coder) if coder else None
-        for batch in batches:
-            for start in range(0, batch.num_rows, 500):
-                part = batch.slice(start, 500)
-                words = [letter_words(t.as_py()) if coder else [] for t in part.column(at)]
-                langs, scores, flags = ["und"] * len(words), np.zeros(len(words)), np.ones(len(words), bool)
-                if any(words):
-                    there = [i for i, w in enumerate(words) if w]
-                    best, scores[there], lead = coder.decode(bits_of([words[i] for i in there]))
-                    flags[there] = lead < unsure
-                    for i, b in zip(there, best, strict=True):
-                        langs[i] = coder.langs[b]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(langs, pa.string()), pa.array(scores), pa.array(flags)], names=[*part.schema.names, "lang_pred", "score", "ambiguous"])
-
-    return documents.mapInArrow(run, schema)
+    """``documents`` with ``lang_pred``, ``score`` (0 to 1) and ``ambiguous`` (lead under ``unsure``, or no letters), which replace columns of those names."""
+    kept = documents.drop("lang_pred", "score", "ambiguous")
+    columns = [F.col(f"`{c}`") for c in kept.columns]
+    found = kept.select(*columns, language_of(F.col("text"), coder, unsure).alias("_found"))
+    return found.select(*columns, "_found.lang_pred", "_found.score", "_found.ambiguous")
 
 
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
