@@ -15,9 +15,10 @@ rows, and pairs below the bound of their sizes are discarded.  A family over
 so that nothing grows into one task and no pair is left out.  A task gives a
 spanning forest of its links, never its pairs.
 
-Columns that a hundredth of the documents or more have are found first: there
-are at most a hundred times the average size of them, so they may be broadcast.
-They count as the most frequent and are not dealt to blocks.
+Columns that a hundredth of the documents or more have are found first, over all
+documents: each has its half of that share in windows that have it so often.
+There are at most two hundred times the average size of them, so they may be
+broadcast.  They count as the most frequent and are not dealt to blocks.
 
 Defined cases: null, empty and blank texts have no shingle, link with nothing
 and are their own component; fewer than five words make one shingle; equal sets
@@ -28,17 +29,16 @@ columns are not read.  Shingles are compared by 64-bit hashes and sets by 128.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+import re
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from minewright.llm.anchors import mix
 from minewright.llm.components import connected_components
-from minewright.llm.units import slices
-from minewright.llm.words import Remembered
 from minewright.staging import shuffle_width, stage
 
 #: Fixed values of the contract: words of a shingle, and the threshold as a fraction.
@@ -46,24 +46,84 @@ WORDS, PART, WHOLE = 5, 75, 100
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
-class Shingler:
-    """Distinct shingle hashes of texts; ASCII letters lower-cased, words parted by ASCII white space."""
+_SPACE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
+_GAP = re.compile(rb"[\x20\x09-\x0d]")
+#: Bytes of text worked on at a time.
+WINDOW = 1 << 18
 
-    def __init__(self, seed: int = 0):
-        self.words = Remembered(lambda w: xxhash.xxh3_64_intdigest(w, seed))
 
-    def __call__(self, text: str | None) -> np.ndarray:
-        words = (text or "").encode("utf-8").lower().split()  # of bytes: ASCII rules
-        if not words:
-            return np.zeros(0, np.uint64)
-        h = np.fromiter(map(self.words.__getitem__, words), np.uint64, len(words))
-        self.words.trim()
-        k, n = min(WORDS, len(h)), max(1, len(h) - WORDS + 1)
-        g = np.full(n, k, np.uint64)
-        for i in range(k):
-            g = (g ^ h[i : i + n]) * _MIX
-            g ^= g >> np.uint64(29)
-        return np.unique(g)
+class Shingler:
+    """Distinct shingle hashes of texts; ASCII letters lower-cased, words parted by ASCII white space.
+
+    Words are hashed all at once as polynomials of their bytes.  A text over ``window`` bytes is read in parts
+    that begin with the last four words of the part before.
+    """
+
+    def __init__(self, seed: int = 0, window: int = WINDOW):
+        self.window = window
+        self.table = np.random.default_rng([seed, 3]).integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+    def _parts(self, raw: bytes) -> Iterator[bytes]:
+        carry, at = b"", 0
+        while at < len(raw):
+            gap = _GAP.search(raw, at + self.window)
+            end = gap.start() if gap else len(raw)
+            carry, at = carry + b" " + raw[at:end], end
+            words = carry.split()
+            if len(words) >= WORDS or at == len(raw):
+                yield carry
+                carry = b" ".join(words[1 - WORDS :])
+
+    def _hash(self, parts: list[bytes]) -> list[np.ndarray]:
+        """The distinct shingles of each part."""
+        data = np.frombuffer(b" ".join([*parts, b""]), np.uint8)
+        mask = np.zeros(len(data) + 2, np.int8)
+        mask[1:-1] = ~_SPACE[data]
+        edge = np.diff(mask)
+        start, end = np.flatnonzero(edge > 0), np.flatnonzero(edge < 0)
+        size = end - start
+        first = np.cumsum(size) - size
+        at = np.arange(size.sum()) - np.repeat(first, size)  # place in the word
+        power = np.full(int(size.max(initial=0)) + 1, _MIX, np.uint64)
+        power[0] = 1
+        np.multiply.accumulate(power, out=power)
+        sums = np.zeros(len(at) + 1, np.uint64)
+        np.cumsum(self.table[data[np.flatnonzero(mask[1:-1])]] * power[at], out=sums[1:])
+        h = mix((sums[first + size] - sums[first]) ^ size.astype(np.uint64))
+        begin = np.cumsum([0, *(len(p) + 1 for p in parts)])
+        upto = np.searchsorted(start, begin)  # words before each part
+        n = np.diff(upto)
+
+        def shingle(at: np.ndarray, k: int) -> np.ndarray:
+            g = np.full(len(at), k, np.uint64)
+            for i in range(k):
+                g = (g ^ h[at + i]) * _MIX
+                g ^= g >> np.uint64(29)
+            return g
+
+        whole = shingle(np.arange(max(len(h) - WORDS + 1, 0)), WORDS)
+        few = {k: shingle(upto[:-1][n == k], k) for k in range(1, WORDS)}
+        place = np.zeros(len(parts), np.int64)
+        for k in few:
+            place[n == k] = np.arange((n == k).sum())
+        return [np.unique(whole[a : a + k - WORDS + 1]) if k >= WORDS else few[k][i : i + 1] if k else h[:0] for a, k, i in zip(upto.tolist(), n.tolist(), place.tolist(), strict=False)]
+
+    def __call__(self, texts: Iterable[str | None]) -> Iterator[np.ndarray]:
+        """The set of each text, in order."""
+        held: list[bytes] = []
+        size = 0
+        for text in texts:
+            raw = (text or "").encode("utf-8").lower()  # of bytes: ASCII rules
+            if size + len(raw) > self.window and held:
+                yield from self._hash(held)
+                held, size = [], 0
+            if len(raw) > self.window:
+                yield np.unique(np.concatenate([s for p in self._parts(raw) for s in self._hash([p])]))
+            else:
+                held.append(raw)
+                size += len(raw) + 1
+        if held:
+            yield from self._hash(held)
 
 
 def _node(shingles: np.ndarray) -> tuple[int, int]:
@@ -76,23 +136,25 @@ def least_overlap(n: np.ndarray | int) -> np.ndarray | int:
     return -(-PART * n // WHOLE)
 
 
-def _frequent(seed: int, window: int = 4096, least: int = 32):
-    """Shingles of a hundredth or more of some window of documents, with their count there."""
+def _frequent(seed: int, window: int = 4096, entries: int = 1_000_000):
+    """Shingles that half a hundredth or more of a window of documents have, with their count there."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler, held = Shingler(seed), []
+        shingler, held, size = Shingler(seed), [], 0
 
         def counted() -> pa.RecordBatch:
             s, n = np.unique(np.concatenate(held), return_counts=True)
-            many = n >= max(least, len(held) // WHOLE)
+            many = n >= max(2, -(-len(held) // (2 * WHOLE)))
             held.clear()
             return pa.record_batch([pa.array(s[many].view(np.int64)), pa.array(n[many])], names=["s", "n"])
 
         for batch in batches:
-            for text in batch.column(0):
-                held.append(shingler(text.as_py()))
-                if len(held) >= window:
+            for s in shingler(x.as_py() for x in batch.column(0)):
+                held.append(s)
+                size += len(s)
+                if len(held) >= window or size >= entries:
                     yield counted()
+                    size = 0
         if held:
             yield counted()
 
@@ -106,8 +168,7 @@ def _documents(seed: int, frequent: np.ndarray):
         shingler = Shingler(seed)
         for batch in batches:
             n, one, two, often = [], [], [], []
-            for text in batch.column(1):
-                s = shingler(text.as_py())
+            for s in shingler(x.as_py() for x in batch.column(1)):
                 a, b = _node(s) if len(s) else (None, None)
                 n.append(len(s)), one.append(a), two.append(b), often.append(s[_isin(s, frequent)].tobytes())
             yield pa.record_batch([batch.column(0), pa.array(n, pa.int64()), pa.array(one, pa.int64()), pa.array(two, pa.int64()), pa.array(often, pa.binary())], names=["doc_id", "n", "node", "node2", "often"])
@@ -140,19 +201,37 @@ def _cut(block: np.ndarray, doc: np.ndarray, s: np.ndarray, node: np.ndarray, n:
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), _BLOCK.types, strict=True)], schema=_BLOCK)
 
 
-def _entries(seed: int, frequent: np.ndarray, blocks: int):
+def _entries(seed: int, frequent: np.ndarray, blocks: int, flush: int = 300_000, seen_nodes: int = 100_000):
+    """Entries of the rows by block; of copies that a task meets the first goes on (a task remembers ``seen_nodes`` rows at a time)."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler = Shingler(seed)
+        shingler, seen = Shingler(seed), set()
+        held: list[np.ndarray] = []
+        nodes: list[int] = []
+
+        def cut() -> Iterator[pa.RecordBatch]:
+            n = np.array(list(map(len, held)), np.int64)
+            s, doc = np.concatenate(held), np.repeat(np.arange(len(held)), n)
+            keep = ~_isin(s, frequent)
+            s, doc = s[keep], doc[keep]
+            yield from _cut(((s >> np.uint64(17)) % np.uint64(blocks)).astype(np.int32), doc, s, np.array(nodes, np.int64), n)
+
+        size = 0
         for batch in batches:
-            texts = batch.column(0).to_pylist()
-            for a, b in slices(texts, 1 << 22):
-                sets = [shingler(t) for t in texts[a:b]]
-                node = np.array([_node(s)[0] for s in sets], np.int64)
-                n = np.array(list(map(len, sets)), np.int64)
-                s, doc = np.concatenate(sets), np.repeat(np.arange(len(sets)), n)
-                keep = ~_isin(s, frequent)
-                s, doc = s[keep], doc[keep]
-                yield from _cut(((s >> np.uint64(17)) % np.uint64(blocks)).astype(np.int32), doc, s, node, n)
+            for s in shingler(x.as_py() for x in batch.column(0)):
+                if not len(s) or (node := _node(s)[0]) in seen:
+                    continue
+                if len(seen) >= seen_nodes:
+                    seen.clear()
+                seen.add(node)
+                held.append(s), nodes.append(node)
+                size += len(s)
+                if size >= flush:
+                    yield from cut()
+                    held.clear(), nodes.clear()
+                    size = 0
+        if held:
+            yield from cut()
 
     return run
 
@@ -303,19 +382,21 @@ def link_rows(rows: DataFrame, family_rows: int = 4096, chunk: int = 512) -> Dat
     return full.groupBy("meet", "i", "j").applyInArrow(_multiply, "u long, v long")
 
 
-def ngram_components(documents: DataFrame, block_entries: int = 4_000_000) -> DataFrame:
+def ngram_components(documents: DataFrame, block_entries: int = 1_000_000) -> DataFrame:
     """``doc_id, n_shingles, component_id`` of every row of ``documents``."""
     spark = documents.sparkSession
     texts = documents.select("doc_id", "text")
     kind = documents.schema["doc_id"].dataType.simpleString()
     for seed in range(4):
         total = texts.count()
-        many = texts.select("text").mapInArrow(_frequent(seed), "s long, n long").groupBy("s").agg(F.sum("n").alias("n")).where(F.col("n") >= max(32, total // WHOLE))
-        frequent = np.sort(np.array([r.s for r in many.select("s").collect()], np.int64).view(np.uint64))  # a hundred average sets at most
+        many = texts.select("text").mapInArrow(_frequent(seed), "s long, n long").groupBy("s").agg(F.sum("n").alias("n")).where(F.col("n") >= max(32, total // (2 * WHOLE)))
+        frequent = np.sort(np.array([r.s for r in many.select("s").collect()], np.int64).view(np.uint64))  # two hundred average sets at most
         docs = stage(texts.mapInArrow(_documents(seed, frequent), f"doc_id {kind}, n long, node long, node2 long, often binary"), "ngram-documents")
         clash = docs.where("node IS NOT NULL").groupBy("node").agg((F.min("node2") != F.max("node2")).alias("c")).agg(F.max("c")).first()[0]
         if not clash:
             break
+    else:
+        raise RuntimeError("two sets have one 64-bit name with every seed")
     entries = docs.agg(F.sum("n")).first()[0] or 0
     blocks = max(shuffle_width(spark), -(-entries // block_entries))
     shared = (
