@@ -22,7 +22,6 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -36,9 +35,15 @@ CAPACITY, END_ID = 4096, 1
 _MEMORY: dict[str, UnitMemory] = {}
 
 
-def library_units(path: str) -> UnitMemory:
+#: Words whose ids a Python worker remembers, of about 250 bytes each.
+WORDS_KEPT = 1_400_000
+
+
+def library_units(path: str, words_kept: int = WORDS_KEPT) -> UnitMemory:
     """Ids of a ``tokenizers`` file whose words are independent; a Python worker keeps one memory for all its tasks."""
-    if path not in _MEMORY:
+    if path in _MEMORY:
+        _MEMORY[path].bound = words_kept
+    else:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -62,18 +67,23 @@ def library_units(path: str) -> UnitMemory:
             ends = np.flatnonzero(flat == mark)
             return flat[flat != mark], np.diff(np.append(-1, ends)) - 1
 
-        _MEMORY[path] = UnitMemory(work, bound=1_400_000)  # about 350 MB
+        _MEMORY[path] = UnitMemory(work, bound=words_kept)
     return _MEMORY[path]
 
 
-def tokenized_pieces(documents: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = END_ID, with_ids: bool = False) -> DataFrame:
+def tokenized_pieces(documents: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = END_ID, with_ids: bool = False, words_kept: int = WORDS_KEPT) -> DataFrame:
     """``doc_id, row, piece, start, length, ids_crc32`` (and ``ids``) of every document's pieces; ``row`` tells repeated ids apart."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memory = library_units(path)
+        memory = library_units(path, words_kept)
+        yield from pieces_of(memory, batches)
+        if words_kept < WORDS_KEPT:  # the caller has little memory: nothing stays in the worker
+            memory.forget()
+
+    def pieces_of(memory: UnitMemory, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, ids, rows = batch.column(1).to_pylist(), batch.column(0).to_pylist(), batch.column(2).to_pylist()
-            for a, b in slices(texts):
+            for a, b in slices(texts, 1 << 20):
                 flat, ends = memory.encode([white_split(t or "") for t in texts[a:b]])
                 out: list[list] = [[] for _ in range(7)]
                 begin = 0
@@ -130,19 +140,19 @@ def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY, group_pieces: int =
     columns = [c for c in pieces.columns if c not in ("sequence_id", "offset", "pack_group")]
     keyed = pieces.select(*columns, F.pmod(F.xxhash64("row", "piece"), F.lit(groups)).alias("pack_group"))
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["length", "row", "piece"], ascending=[False, True, True], kind="stable", ignore_index=True)
-        where, offset = sum_of_squares(pdf["length"].to_numpy(), capacity)
-        return pdf.assign(sequence_id=pdf["pack_group"].to_numpy().astype(np.int64) * 2**32 + where, offset=offset)
+    def run(key: tuple[pa.Scalar, ...], t: pa.Table) -> pa.Table:
+        t = t.sort_by([("length", "descending"), ("row", "ascending"), ("piece", "ascending")])
+        where, offset = sum_of_squares(t["length"].to_numpy(), capacity)
+        return t.append_column("sequence_id", pa.array(key[0].as_py() * 2**32 + where, pa.int64())).append_column("offset", pa.array(offset, pa.int64()))
 
     schema = StructType([*keyed.schema.fields, StructField("sequence_id", LongType()), StructField("offset", LongType())])
-    return keyed.groupBy("pack_group").applyInPandas(run, schema).drop("pack_group")
+    return keyed.groupBy("pack_group").applyInArrow(run, schema).drop("pack_group")
 
 
-def pack_documents(documents: DataFrame, path: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID, with_ids: bool = False) -> DataFrame:
-    """Tokenize, cut and pack ``doc_id, text`` rows; with ``with_ids`` each piece carries its token ids."""
+def pack_documents(documents: DataFrame, path: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID, with_ids: bool = False, words_kept: int = WORDS_KEPT) -> DataFrame:
+    """Tokenize, cut and pack ``doc_id, text`` rows; with ``with_ids`` each piece carries its token ids; ``words_kept`` bounds a worker's memory."""
     path = path or public_tokenizers.path("word_bpe_49k.json")
-    return pack_pieces(stage(tokenized_pieces(documents, path, capacity, end_id, with_ids), "pieces"), capacity)
+    return pack_pieces(stage(tokenized_pieces(documents, path, capacity, end_id, with_ids, words_kept), "pieces"), capacity)
 
 
 def sequences(packed: DataFrame) -> DataFrame:

@@ -41,7 +41,7 @@ class UnitMemory:
         return a if n <= len(a) else np.concatenate([a, np.zeros(max(n, 2 * len(a)) - len(a), a.dtype)])
 
     def learn(self, units: set[str]) -> None:
-        if len(self.slot) > self.bound:
+        if len(self.slot) >= self.bound:
             self.forget()
         new = sorted(units - self.slot.keys())
         if not new:
