@@ -1,20 +1,22 @@
 """Exact top-k inner-product search by a three-phase uniform threshold.
 
-The vector's components are dealt to ``lists`` groups; in each group a
-candidate has a local score, and its score is their sum.
-
-1. Every block of candidates gives, for each query, the head of its local list
-   of each group, with the exact scores of those candidates.
-2. The k-th best of these scores over all blocks is a cutoff below which no
-   answer can lie.  A candidate that stays under ``cutoff / lists`` in every
-   group can't reach it, so only entries at or over that uniform threshold are
-   collected.
-3. A collected candidate's unseen local scores are bounded by the threshold;
-   those whose bound reaches the cutoff are scored exactly.
-
-Queries and candidates meet in blocks of bounded size: a block of queries is
-paired with each block of candidates, never row with row.  Beside the blocks,
-only heads, cutoffs and final entries are shuffled.
+The vector's components are dealt to ``lists`` lists.  A task holds one list's
+components of a block of candidates and sees only local scores; a candidate's
+score is the sum over the lists.
+
+1. Every list gives each query its best ``k`` local scores.  The candidates met
+   there are scored exactly, and the k-th best score of a query is a cutoff below
+   which no answer can lie.
+2. The cutoff goes back to the lists with the queries.  A candidate that stays
+   under ``cutoff / lists`` in every list can't reach it, so each list collects
+   only entries at or over that uniform threshold; nothing else leaves a list.
+3. What a collected candidate scores in the lists that did not collect it is
+   looked up there, for these candidates alone, and the sums are ranked.
+
+Candidates stay in their blocks; blocks of queries come to them, ``group_bytes``
+of queries at a time, which bounds what is broadcast.  What is shuffled are
+entries of (query, candidate), and once for a group of queries the candidate
+blocks that phase 3 looks up.
 
 Defined cases: vectors that are null, empty, or hold null or non-finite
 components take no part, on either side; vectors of another length than the
@@ -33,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from minewright.staging import shuffle_width, stage
+from minewright.staging import drop_staged, stage
 
 
 def usable(vector: Column) -> Column:
@@ -41,8 +43,8 @@ def usable(vector: Column) -> Column:
     return vector.isNotNull() & (F.size(vector) > 0) & F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
 
 
-def pack_blocks(vectors: DataFrame, per_block: int, n_rows: int) -> DataFrame:
-    """``block, dim, ids binary, data binary`` of ``id, v`` rows: blocks of about ``per_block`` vectors of one length.
+def pack_blocks(vectors: DataFrame, per_block: int, lists: int, n_rows: int) -> DataFrame:
+    """``block, dim, list, ids binary, data binary`` of ``id, v`` rows: each list's components of about ``per_block`` vectors of one length.
 
     Equal rows count once; rows of one id with other vectors all stay.
     """
@@ -50,21 +52,25 @@ def pack_blocks(vectors: DataFrame, per_block: int, n_rows: int) -> DataFrame:
     keyed = vectors.select("id", "v").distinct().withColumn("block", F.pmod(F.xxhash64("id"), F.lit(n_blocks)))
 
     def pack(key: tuple[pa.Scalar, ...], t: pa.Table) -> pa.Table:
-        order = np.argsort(t["id"].to_numpy())
+        block, dim = key[0].as_py(), key[1].as_py()
+        order = np.argsort(t["id"].to_numpy(), kind="stable")
         flat = t["v"].combine_chunks()
-        x = flat.values.to_numpy(zero_copy_only=False)[flat.offsets[0].as_py():].reshape(len(order), key[1].as_py())[order]
-        return pa.table({"block": [key[0].as_py()], "dim": [key[1].as_py()], "ids": [t["id"].to_numpy()[order].astype("<i8").tobytes()], "data": [x.astype("<f8").tobytes()]})
-
-    return keyed.withColumn("dim", F.size("v").cast("long")).groupBy("block", "dim").applyInArrow(pack, "block long, dim long, ids binary, data binary")
-
-
-def _exact(q: np.ndarray, c: np.ndarray) -> np.ndarray:
-    """Inner products of integer-valued rows; exact, or an error where 64 bits do not hold them."""
-    if not len(q) or not len(c):
-        return np.zeros((len(q), len(c)), np.int64)
-    top = float(np.abs(q).max()) * float(np.abs(c).max()) * q.shape[1]
-    if top < 2.0**53:
-        return (q @ c.T).astype(np.int64)
+        x = flat.values.to_numpy(zero_copy_only=False)[flat.offsets[0].as_py() :].reshape(len(order), dim)[order].astype("<f8")
+        ids = t["id"].to_numpy()[order].astype("<i8").tobytes()
+        parts = [g for g in np.array_split(np.arange(dim), lists) if len(g)]
+        n = len(parts)
+        return pa.table({
+            "block": pa.array([block] * n, pa.int64()), "dim": pa.array([dim] * n, pa.int64()), "list": pa.array(range(n), pa.int32()), "lists": pa.array([n] * n, pa.int32()),
+            "ids": pa.array([ids] * n, pa.binary()), "data": pa.array([np.ascontiguousarray(x[:, g]).tobytes() for g in parts], pa.binary()),
+        })
+
+    return keyed.withColumn("dim", F.size("v").cast("long")).groupBy("block", "dim").applyInArrow(pack, "block long, dim long, list int, lists int, ids binary, data binary")
+
+
+def _local(q: np.ndarray, c: np.ndarray) -> np.ndarray:
+    """Local scores of integer-valued rows; exact, or an error where 64 bits do not hold them."""
+    if float(np.abs(q).max(initial=0)) * float(np.abs(c).max(initial=0)) * q.shape[1] < 2.0**53:
+        return q @ c.T
     whole = np.vectorize(int, otypes=[object])  # Python's integers
     exact = whole(q) @ whole(c).T
     if max(abs(int(v)) for v in exact.ravel()) >= 2**63:
@@ -72,127 +78,166 @@ def _exact(q: np.ndarray, c: np.ndarray) -> np.ndarray:
     return exact.astype(np.int64)
 
 
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+#: A row's place: its block and its number there.
+_BLOCK_BITS = 32
+_ENTRY = pa.schema([("q", pa.int64()), ("c", pa.int64()), ("query_id", pa.int64()), ("vec_id", pa.int64()), ("list", pa.int32()), ("lists", pa.int32()), ("local", pa.int64())])
+_ENTRY_DDL = "q long, c long, query_id long, vec_id long, list int, lists int, local long"
+
+
+def _meetings(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[tuple]:
+    """A list's local scores of some queries and a block of candidates, a query's own id out of the way."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            r = {n: batch.column(n)[i] for n in batch.schema.names}
+            r = {n: np.frombuffer(x.as_buffer(), "<i8" if n in ("ids", "q_ids", "cutoffs") else "<f8") if isinstance(x, pa.BinaryScalar) and x.is_valid else x.as_py() for n, x in r.items()}
+            qi, ci = r["q_ids"], r["ids"]
+            q, c = r["q_data"].reshape(len(qi), -1), r["data"].reshape(len(ci), -1)
+            for a in range(0, len(qi), rows):
+                own = qi[a : a + rows, None] == ci[None, :]
+                yield r, a, own, _local(q[a : a + rows], c)
+
+
+def _batch(r: dict, a: int, at: np.ndarray, to: np.ndarray, local: np.ndarray) -> pa.RecordBatch:
+    n = len(at)
+    place = (r["q_block"] << _BLOCK_BITS) + a + at, (r["block"] << _BLOCK_BITS) + to
+    columns = [*place, r["q_ids"][a + at], r["ids"][to], np.full(n, r["list"]), np.full(n, r["lists"]), local]
+    return pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)).cast(f.type) for x, f in zip(columns, _ENTRY, strict=True)], schema=_ENTRY)
+
+
+def _heads(k: int):
+    """Phase 1: of each list and block the best ``k`` local entries of each query."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for r, a, own, local in _meetings(batches):
+            n = min(k, local.shape[1])
+            low = np.where(own, np.iinfo(np.int64).min if local.dtype == np.int64 else -np.inf, local)
+            top = np.argpartition(low, local.shape[1] - n, axis=1)[:, local.shape[1] - n :]
+            at, to = np.repeat(np.arange(len(top)), n), top.ravel()
+            keep = ~own[at, to]
+            yield _batch(r, a, at[keep], to[keep], local[at[keep], to[keep]])
+
+    return run
+
+
+def _collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Phase 2: entries at or over ``cutoff / lists``; all entries of a query without a cutoff."""
+    for r, a, own, local in _meetings(batches):
+        if r["cutoffs"] is None:
+            over = ~own
+        else:
+            cutoff = r["cutoffs"][a : a + len(own)]
+            least = -(-cutoff // r["lists"])  # of integers, so that nothing is rounded away
+            over = ((local >= least[:, None]) | (cutoff == _NO_CUTOFF)[:, None]) & ~own
+        at, to = np.nonzero(over)
+        yield _batch(r, a, at, to, local[at, to])
+
+
+_NO_CUTOFF = -(2**62)
+
+
+def _look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Phase 3: local scores of given pairs in one list."""
     for batch in batches:
-        for r in batch.to_pylist():
-            d = r["dim"]
-            yield (np.frombuffer(r["q_ids"], "<i8"), np.frombuffer(r["q_data"], "<f8").reshape(-1, d),
-                   np.frombuffer(r["ids"], "<i8"), np.frombuffer(r["data"], "<f8").reshape(-1, d), r.get("cutoffs"))
-
-
-def _local(q: np.ndarray, c: np.ndarray, groups: list[np.ndarray], own: np.ndarray) -> list[np.ndarray]:
-    """Per group the local scores, the query's own row out of the way."""
-    out = [q[:, g] @ c[:, g].T for g in groups]
-    for s in out:
-        s[own] = -np.inf
-    return out
-
-
-def _groups(dim: int, lists: int) -> list[np.ndarray]:
-    return [g for g in np.array_split(np.arange(dim), lists) if len(g)]
-
-
-_ENTRY = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
-
-
-def _entries(qi: np.ndarray, ci: np.ndarray, s: np.ndarray) -> pa.RecordBatch:
-    return pa.record_batch([pa.array(x, pa.int64()) for x in (qi, ci, s)], schema=_ENTRY)
-
-
-def _heads(k: int, lists: int):
-    def phase1(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for qi, q, ci, c, _ in _blocks(batches):
-            own = qi[:, None] == ci[None, :]
-            seen = np.zeros(own.shape, bool)
-            for s in _local(q, c, _groups(q.shape[1], lists), own):
-                top = np.argpartition(-s, min(k, s.shape[1]) - 1, axis=1)[:, :k]
-                np.put_along_axis(seen, top, True, axis=1)
-            seen &= ~own
-            # Of the heads' candidates only the k best exact scores can set the cutoff.
-            rows, cols = np.nonzero(seen)
-            for a in np.unique(rows):
-                at = cols[rows == a]
-                s = _exact(q[a : a + 1], c[at])[0]
-                best = np.lexsort((ci[at], -s))[:k]
-                yield _entries(np.full(len(best), qi[a]), ci[at][best], s[best])
-
-    return phase1
-
-
-def _finish(k: int, lists: int):
-    def phases23(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for qi, q, ci, c, cutoffs in _blocks(batches):
-            least = np.full(len(qi), -np.inf)  # too few heads: everything is collected
-            if cutoffs:
-                known = {x["query_id"]: x["cutoff"] for x in cutoffs}
-                least = np.array([known.get(int(i), -np.inf) for i in qi], float)
-            own = qi[:, None] == ci[None, :]
-            groups = _groups(q.shape[1], lists)
-            local = _local(q, c, groups, own)
-            least = least - np.abs(least) * 2.0**-40  # float bounds must not lose an exact tie
-            limit = (least / len(groups))[:, None]
-            bound = np.zeros(own.shape)
-            collected = np.zeros(own.shape, bool)
-            for s in local:
-                over = s >= limit
-                collected |= over
-                bound += np.where(over, s, np.where(np.isfinite(limit), limit, s))
-            slack = np.abs(bound) * 2.0**-40
-            need = collected & (bound + slack >= least[:, None]) & ~own
-            rows, cols = np.nonzero(need)
-            for a in np.unique(rows):
-                at = cols[rows == a]
-                s = _exact(q[a : a + 1], c[at])[0]
-                keep = s >= least[a]
-                at, s = at[keep], s[keep]
-                best = np.lexsort((ci[at], -s))[:k]
-                yield _entries(np.full(len(best), qi[a]), ci[at][best], s[best])
-
-    return phases23
+        for i in range(batch.num_rows):
+            r = {n: batch.column(n)[i].as_py() for n in batch.schema.names}
+            qi, ci = np.frombuffer(r["q_ids"], "<i8"), np.frombuffer(r["ids"], "<i8")
+            q, c = np.frombuffer(r["q_data"], "<f8").reshape(len(qi), -1), np.frombuffer(r["data"], "<f8").reshape(len(ci), -1)
+            at, to = (np.array(r[n], np.int64) & (2**_BLOCK_BITS - 1) for n in ("qs", "cs"))
+            for s in range(0, len(at), 1 << 16):
+                x, y = q[at[s : s + (1 << 16)]], c[to[s : s + (1 << 16)]]
+                if float(np.abs(x).max()) * float(np.abs(y).max()) * x.shape[1] < 2.0**53:
+                    local = (x * y).sum(axis=1)
+                else:
+                    local = np.array([int(_local(u[None], v[None])[0, 0]) for u, v in zip(x, y, strict=True)], np.int64)
+                yield _batch({"q_block": r["q_block"], "block": r["block"], "q_ids": qi, "ids": ci, "list": r["list"], "lists": r["lists"]}, 0, at[s : s + (1 << 16)], to[s : s + (1 << 16)], local)
+
+
+def _resolve(pairs: DataFrame, candidates: DataFrame, queries: DataFrame, bounded: bool) -> DataFrame:
+    """Entries of ``pairs`` (``q, c, list, dim``), looked up in the lists they name; ``bounded`` pairs are broadcast to the blocks."""
+    asked = pairs.groupBy(F.shiftright("c", _BLOCK_BITS).alias("block"), F.shiftright("q", _BLOCK_BITS).alias("q_block"), "list", F.pmod("q", F.lit(64)).alias("part")).agg(
+        F.collect_list(F.struct("q", "c")).alias("pairs")).select("block", "q_block", "list", F.col("pairs.q").alias("qs"), F.col("pairs.c").alias("cs"))
+    asked = F.broadcast(asked) if bounded else asked
+    met = candidates.join(asked, ["block", "list"])
+    return met.join(F.broadcast(queries), ["dim", "list", "q_block"]).select("q_block", "block", "list", "lists", "ids", "data", "q_ids", "q_data", "qs", "cs").mapInArrow(_look_up, _ENTRY_DDL)
+
+
+def _meet(candidates: DataFrame, queries: DataFrame) -> DataFrame:
+    """Each block of a list beside the queries' blocks of that list; the candidates stay where they are."""
+    return candidates.join(F.broadcast(queries), ["dim", "list"])
+
+
+def cutoffs(candidates: DataFrame, queries: DataFrame, k: int) -> DataFrame:
+    """``q, cutoff`` of queries for which ``k`` candidates were met at the heads of the lists."""
+    heads = _meet(candidates, queries).mapInArrow(_heads(k), _ENTRY_DDL)
+    local = Window.partitionBy("q", "list").orderBy(F.desc("local"), "c")
+    met = heads.withColumn("n", F.row_number().over(local)).where(F.col("n") <= k).select("q", "c", "lists").distinct()
+    every = met.select("q", "c", F.explode(F.sequence(F.lit(0), F.col("lists") - 1)).alias("list"))
+    # k * lists candidates of each query at most: bounded like the queries themselves.
+    exact = _resolve(every, candidates, queries, bounded=True).groupBy("q", "c").agg(F.sum("local").alias("score"))
+    return exact.withColumn("n", F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score")))).where(F.col("n") == k).select("q", F.col("score").alias("cutoff"))
+
+
+def _carry(queries: DataFrame, known: DataFrame) -> DataFrame:
+    """Query blocks with a cutoff for each of their rows."""
+    spelled = known.groupBy(F.shiftright("q", _BLOCK_BITS).alias("q_block")).agg(F.collect_list(F.struct("q", "cutoff")).alias("known"))  # of one block
+
+    def carry(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for r in batch.select(["q_ids", "known"]).to_pylist():
+                own = np.full(len(r["q_ids"]) // 8, _NO_CUTOFF, "<i8")
+                for x in r["known"] or []:
+                    own[x["q"] & (2**_BLOCK_BITS - 1)] = x["cutoff"]
+                out.append(own.tobytes())
+            names = ["dim", "list", "q_block", "q_ids", "q_data"]
+            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.array(out, pa.binary())], names=[*names, "cutoffs"])
+
+    return queries.join(spelled, "q_block", "left").mapInArrow(carry, "dim long, list int, q_block long, q_ids binary, q_data binary, cutoffs binary")
+
+
+def collect_entries(candidates: DataFrame, queries: DataFrame, known: DataFrame) -> DataFrame:
+    """Phase 2: what the lists give up for queries with their cutoffs."""
+    return _meet(candidates, _carry(queries, known)).mapInArrow(_collect, _ENTRY_DDL)
 
 
 def topk_search(
-    vectors: DataFrame, queries: DataFrame, k: int = 5, lists: int = 4,
-    query_block: int = 2048, candidate_block: int = 4096,
+    vectors: DataFrame, queries: DataFrame, k: int = 5, lists: int = 2,
+    query_block: int = 2048, candidate_block: int = 4096, group_bytes: int = 32 << 20,
 ) -> DataFrame:
     """``query_id, rank, vec_id, score``: each query's k greatest inner products among ``vectors`` but itself.
 
     Both frames have ``id long, v array<double>`` with integer-valued components.
     """
     vectors, queries = (x.where(F.col("id").isNotNull() & usable(F.col("v"))) for x in (vectors, queries))
-    c = stage(pack_blocks(vectors, candidate_block, vectors.count()), "topk-candidates")
-    q = stage(pack_blocks(queries, query_block, queries.count()), "topk-queries")
-    right = q.select(F.col("block").alias("q_block"), "dim", F.col("ids").alias("q_ids"), F.col("data").alias("q_data"))
-    n_q, n_c = (max(1, x.agg(F.max("block")).first()[0] or 0) + 1 for x in (q, c))
-
-    def pair(queries_side: DataFrame) -> DataFrame:
-        """Every query block beside every candidate block, a row each; a join key has ``fan`` candidate blocks at most."""
-        fan = 8
-        left = c.withColumn("q_block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_q - 1).cast("long")))).withColumn("fan", F.expr(f"block div {fan}"))
-        fanned = queries_side.withColumn("fan", F.explode(F.sequence(F.lit(0).cast("long"), F.lit((n_c - 1) // fan).cast("long"))))
-        return left.join(fanned, ["dim", "q_block", "fan"]).repartition(max(n_c, shuffle_width(c.sparkSession)), "block", "q_block").drop("q_block", "block", "fan")
-
-    pairs = pair(right)
-    heads = pairs.mapInArrow(_heads(k, lists), "query_id long, vec_id long, score long")
+    n_c, width = vectors.agg(F.count(F.lit(1)), F.coalesce(F.max(F.size("v")), F.lit(1))).first()
+    n_q = queries.count()
+    fits = lambda rows: max(1, min(rows, group_bytes // (8 * width)))
+    c = stage(pack_blocks(vectors, fits(candidate_block), lists, n_c), "topk-candidates")
+    q = stage(pack_blocks(queries, fits(query_block), lists, n_q).select("dim", "list", F.col("block").alias("q_block"), F.col("ids").alias("q_ids"), F.col("data").alias("q_data")), "topk-queries")
+    per_group = max(1, group_bytes // (8 * width * fits(query_block)))
+    found = []
+    for group in range(-(-max(1, -(-n_q // fits(query_block))) // per_group)):
+        own = q.where(F.expr(f"q_block div {per_group} = {group}"))
+        known = stage(cutoffs(c, own, k), "topk-cutoffs")
+        entries = stage(collect_entries(c, own, known), "topk-entries")
+        seen = entries.groupBy("q", "c", "query_id", "vec_id", "lists").agg(F.sum("local").alias("sum"), F.count(F.lit(1)).alias("n"), F.collect_set("list").alias("seen"))
+        done = seen.where("n = lists").select("q", "query_id", "vec_id", F.col("sum").alias("score"))
+        open_ = seen.where("n < lists")
+        asked = open_.select("q", "c", F.explode(F.expr("array_except(sequence(0, lists - 1), seen)")).alias("list"))
+        rest = _resolve(asked, c, own, bounded=False).select("q", "c", "query_id", "vec_id", "local")
+        whole = rest.union(open_.select("q", "c", "query_id", "vec_id", F.col("sum").alias("local"))).groupBy("q", "c", "query_id", "vec_id").agg(F.sum("local").alias("score"))
+        scores = done.union(whole.select("q", "query_id", "vec_id", "score")).join(known, "q", "left").where("cutoff IS NULL OR score >= cutoff")
+        by_score = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+        ranked = scores.withColumn("rank", F.row_number().over(by_score)).where(F.col("rank") <= k)
+        found.append(stage(ranked.select("query_id", "vec_id", "score"), "topk-found"))
+        drop_staged(entries, known)
+    drop_staged(c, q)
+    both = found[0]
+    for more in found[1:]:
+        both = both.union(more)
+    # Rows of one query id can lie in different groups.
     by_score = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    cutoff = heads.withColumn("n", F.row_number().over(by_score)).where(F.col("n") == k).select("query_id", F.col("score").alias("cutoff"))
-    # A query block carries its own cutoffs: at most query_block pairs.
-    owner = q.select("block", "dim", "ids").withColumn("query_id", F.lit(0).cast("long"))
-
-    def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for r in b.to_pylist():
-                ids = np.frombuffer(r["ids"], "<i8")
-                yield pa.record_batch([pa.array(np.full(len(ids), r["block"])), pa.array(np.full(len(ids), r["dim"])), pa.array(ids)], names=["q_block", "dim", "query_id"])
-
-    member = owner.select("block", "dim", "ids").mapInArrow(spell, "q_block long, dim long, query_id long")
-    carried = stage(
-        member.join(cutoff, "query_id").groupBy("q_block", "dim").agg(F.collect_list(F.struct("query_id", "cutoff")).alias("cutoffs")), "topk-cutoffs"
-    )
-    second = right.join(carried, ["q_block", "dim"], "left")
-    found = pair(second).mapInArrow(_finish(k, lists), "query_id long, vec_id long, score long")
-    ranked = found.withColumn("rank", F.row_number().over(by_score)).where(F.col("rank") <= k)
-    return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+    return both.withColumn("rank", F.row_number().over(by_score)).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
 
 OP2_SQL = """

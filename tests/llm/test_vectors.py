@@ -6,10 +6,14 @@ from collections import Counter
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
+from minewright.llm import topk
 from minewright.llm.components import connected_components
 from minewright.llm.topk import topk_search
 from minewright.llm.url_rules import OP5_RULES, judge_urls, make_rules
 from minewright.llm.vector_dedup import plan_tables, same_cell, vector_links
+from minewright.staging import stage
 
 VECTORS = "id long, v array<double>, label int, n long, score double"
 
@@ -44,6 +48,33 @@ def test_topk_keeps_other_vectors_of_a_repeated_id(spark, blocks):
         assert sorted((-r.score, r.vec_id) for r in got if r.query_id == q) == best
 
 
+def test_entries_under_the_threshold_stay_in_their_lists(spark):
+    rng = np.random.default_rng(8)
+    rows = [(i, rng.integers(-50, 51, 16).astype(float).tolist()) for i in range(600)]
+    c = topk.pack_blocks(frame(spark, rows), 100, 2, len(rows))
+    q = topk.pack_blocks(frame(spark, rows[:20]), 8, 2, 20).select("dim", "list", F.col("block").alias("q_block"), F.col("ids").alias("q_ids"), F.col("data").alias("q_data"))
+    c, q = stage(c, "test-c"), stage(q, "test-q")
+    known = stage(topk.cutoffs(c, q, 5), "test-cutoffs")
+    least = {r.q: r.cutoff for r in known.collect()}
+    entries = topk.collect_entries(c, q, known).collect()
+    v = dict(rows)
+    half = [slice(0, 8), slice(8, 16)]
+    assert len(least) == 20 and all(2 * r.local >= least[r.q] and r.local == np.dot(v[r.query_id][half[r.list]], v[r.vec_id][half[r.list]]) for r in entries)
+    of = {r.query_id: least[r.q] for r in entries}
+    want = {(i, j, k) for i in of for j in v if i != j for k in (0, 1) if 2 * np.dot(v[i][half[k]], v[j][half[k]]) >= of[i]}
+    assert {(r.query_id, r.vec_id, r.list) for r in entries} == want and len(want) < 0.1 * 2 * 20 * 600
+
+
+@pytest.mark.parametrize("lists", [1, 3, 7])
+def test_topk_in_groups_of_queries(spark, lists):
+    rng = np.random.default_rng(9)
+    rows = [(i % 80, rng.integers(-9, 10, 5).astype(float).tolist()) for i in range(100)]
+    got = topk_search(frame(spark, rows), frame(spark, [r for r in rows if r[0] % 4 == 0]), k=3, lists=lists, query_block=4, candidate_block=9, group_bytes=400).collect()
+    for q in range(0, 80, 4):
+        best = sorted((-int(np.dot(x, y)), c) for i, x in rows if i == q for c, y in rows if c != q)[:3]
+        assert sorted((-r.score, r.vec_id) for r in got if r.query_id == q) == best
+
+
 def test_topk_is_exact_beyond_floats_and_refuses_overflow(spark):
     big = 2.0**27
     rows = [(0, [big, big, 1.0]), (1, [big, big, 0.0]), (2, [big, big, 1.0])]
