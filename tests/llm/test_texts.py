@@ -100,14 +100,32 @@ def test_token_counts_equal_the_library(make_docs, rows):
     assert all(r.over_limit == (r.n_tokens > 1024) for r in got)
 
 
-def test_chunk_maps_compose_at_any_cut():
-    machine = token_counts.Transducer(P.path("byte_bpe_50k.json"), bound=500, words=50)
+def odd_text(rng, n):
+    return "".join(rng.choice(["a", "b", " ", "  ", "'s", "'", "'ll", "r", "\n", "é", "漢", "1", ".", "<|endoftext|>", "the", "\u3000"]) for _ in range(rng.randint(0, n)))
+
+
+@pytest.mark.parametrize("long", [1024, 4])
+def test_counts_are_the_same_at_any_cut(monkeypatch, long):
+    monkeypatch.setattr(token_counts, "LONG", long)
+    machine = token_counts.Transducer(P.path("byte_bpe_50k.json"), bound=500)
     tokenizer = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
     rng = random.Random(5)
-    for _ in range(300):
-        text = "".join(rng.choice(["a", "b", " ", "'s", "\n", "é", "漢", "1", ".", "<|endoftext|>", "the"]) for _ in range(rng.randint(0, 40)))
-        want = len(tokenizer.encode(text, add_special_tokens=False).ids)
-        assert {machine.count(text, c) for c in (1, 2, 5, 1000)} == {want}, text
+    texts = [odd_text(rng, 40) for _ in range(300)] + ["a" * 3000, " " * 300 + "b", "ab" * 700, "1" * 90, "'" * 50 + "s", " \n" * 40, "\u00e9" * 1200]
+    want = [len(tokenizer.encode(t, add_special_tokens=False).ids) for t in texts]
+    for window in (8, 16, 33, 1000, 1 << 18):
+        assert machine.count_all(texts, window).tolist() == want, window
+        assert [machine.count(t, window) for t in texts] == want, window
+
+
+def test_long_texts_are_dealt_in_segments(make_docs, monkeypatch):
+    tokenizer = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    rng = random.Random(6)
+    # Words, one run of letters, one run whose reading depends on where it begins, special tokens, white space.
+    texts = ["x " * 2000, "".join(rng.choice("abcdefgh") for _ in range(5000)), "a" * 5001, "b <|endoftext|>" * 300, " " * 4000 + "z", None, "", "short"]
+    rows = list(enumerate(texts)) + [(0, texts[1]), (None, texts[0])]
+    want = Counter((i, len(tokenizer.encode(t or "", add_special_tokens=False).ids)) for i, t in rows)
+    got = token_counts.count_tokens(make_docs(rows), split=1500, window=400).collect()
+    assert Counter((r.doc_id, r.n_tokens) for r in got) == want
 
 
 def test_pieces_equal_the_library_and_decode_back(make_docs, rows):
@@ -224,11 +242,41 @@ def test_merged_transforms_find_repeats():
     for _ in range(150):
         depth = int(rng.integers(1, 8))
         strings = [rng.integers(1, 3, rng.integers(0, 20)).astype(np.uint16) for _ in range(rng.integers(1, 10))]
-        flag, _ = bwt.repeated(strings, depth, int(rng.integers(1, 4)))
-        seen = Counter(tuple(s[i : i + depth]) for s in strings for i in range(len(s) - depth + 1))
+        weight = rng.integers(1, 4, len(strings))
+        flag = bwt.repeated(np.concatenate(strings), np.array(list(map(len, strings))), weight, depth, int(rng.integers(1, 4)))
+        seen = Counter()
+        for s, w in zip(strings, weight.tolist(), strict=True):
+            for i in range(len(s) - depth + 1):
+                seen[tuple(s[i : i + depth])] += w
         assert flag.tolist() == [i + depth <= len(s) and seen[tuple(s[i : i + depth])] > 1 for s in strings for i in range(len(s))]
 
 
+def test_merged_transforms_give_common_prefixes():
+    rng = np.random.default_rng(4)
+    for _ in range(60):
+        depth = int(rng.integers(1, 9))
+        strings = [[*rng.integers(1, 3, rng.integers(0, 15)), 0] for _ in range(rng.integers(1, 7))]
+        per = int(rng.integers(1, 4))
+        shards = [np.concatenate([np.array(s) for s in strings[a : a + per]]).astype(np.uint16) for a in range(0, len(strings), per)]
+        orders = [bwt.suffixes(x, depth) for x in shards]
+        shard, common = bwt.merge([bwt.transform(x, o) for x, o in zip(shards, orders, strict=True)], depth)
+        taken, merged = [0] * len(shards), []
+        for k in shard.tolist():
+            x = shards[k][orders[k][taken[k]] :]
+            merged.append(tuple(x[: int(np.flatnonzero(x == 0)[0]) + 1].tolist()))
+            taken[k] += 1
+        cut = [s[:depth] for s in merged]
+        assert [tuple(c for c in s if c) for s in cut] == sorted(tuple(c for c in s if c) for s in cut)
+
+        def shared(a, b):  # ends differ from each other
+            n = 0
+            while n < depth and n < len(a) and n < len(b) and a[n] == b[n] != 0:
+                n += 1
+            return n
+
+        assert common[0] == 0 and common[1:].tolist() == [shared(a, b) for a, b in zip(merged, merged[1:], strict=False)]
+
+
 def test_anchor_of_a_window_depends_on_its_bytes_alone():
     rng = np.random.default_rng(2)
     window = rng.integers(0, 4, 400).astype(np.uint8)
