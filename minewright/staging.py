@@ -50,7 +50,7 @@ def drop_staged(*frames: DataFrame) -> None:
 def small_batches(spark: SparkSession, size: int = 8 << 20) -> None:
     """Let Arrow batches to Python have ``size`` bytes at most, unless the session asks for another size than Spark's own."""
     name = "spark.sql.execution.arrow.maxBytesPerBatch"
-    if spark.conf.get(name, "") == "67108864b":
+    if spark.conf.get(name) == "67108864b":
         spark.conf.set(name, str(size))
 
 
