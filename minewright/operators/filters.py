@@ -105,6 +105,28 @@ def choice_regex(pattern: str, choices: Column, fallback: str = "[invalid]") ->
     return lambda r: F.transform(r, pick)
 
 
+def ignoring(x: Column, case: bool = False, punctuation: bool = False, patterns: tuple[str, ...] = ()) -> Column:
+    """A response without what a match is to ignore: patterns, then case, then all punctuation."""
+    for p in patterns:
+        x = F.regexp_replace(x, p, "")
+    x = F.lower(x) if case else x
+    return F.regexp_replace(x, r"\p{P}", "") if punctuation else x
+
+
+def choice_text(question: Column, responses: Column) -> Column:
+    """Of the first response the letter of the choice whose text stands in it first, else the response without punctuation.
+
+    Choices are mined from the question: a capital letter, a full stop, and the rest of the line; letters are given in
+    their order there, and the last of equal texts counts.
+    """
+    mined = F.transform(F.regexp_extract_all(question, F.lit(r"\b([A-Z])\.\s+([^\n]*)"), 2), lambda x: F.trim(x))
+    plain = F.trim(F.regexp_replace(F.try_element_at(responses, F.lit(1)), r"(?U)[^\w\s]", ""))
+    last = lambda c: F.size(mined) - F.array_position(F.reverse(mined), c)
+    met = F.transform(mined, lambda c, i: F.struct(F.instr(plain, c).alias("at"), i.alias("i"), F.char(65 + last(c)).alias("letter")))
+    first = F.array_min(F.filter(met, lambda m: m["at"] > 0))
+    return F.coalesce(first["letter"], plain)
+
+
 def ensemble(responses: Column, pipelines: dict[str, list[tuple[str, dict]]]) -> Column:
     """``name -> filtered responses`` of several pipelines, each a list of filters applied in turn."""
     out = []

@@ -27,4 +27,4 @@ def query(name: str, oracle: str | None = None):
     return add
 
 
-from minewright.plans import joins, lookups, pages, replies, sampling, scores, texts, urls  # noqa: E402,F401  register on import
+from minewright.plans import answers, joins, lookups, pages, replies, sampling, scores, texts, urls  # noqa: E402,F401  register on import
