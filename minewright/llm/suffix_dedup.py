@@ -382,7 +382,18 @@ def repeated_runs(texts: DataFrame, length: int = LENGTH, crowd: int = 8192, buc
 _OUT = "n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
 
-def _remove(columns: list[str], length: int, with_text: bool, chars: int = 1 << 20):
+def _covered(runs: list[int], length: int) -> list[list[int]]:
+    """Spans of bytes that runs of starts cover, joined where they meet."""
+    cut: list[list[int]] = []
+    for a, b in zip(runs[::2], runs[1::2], strict=True):
+        if cut and a <= cut[-1][1]:
+            cut[-1][1] = b + length
+        else:
+            cut.append([a, b + length])
+    return cut
+
+
+def _remove(columns: list[str], length: int, with_text: bool, passage: int | None, chars: int = 1 << 20):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole_batch in batches:
             sizes = pc.fill_null(pc.binary_length(whole_batch.column(whole_batch.schema.get_field_index("_text"))), 0).to_numpy(zero_copy_only=False)
@@ -394,13 +405,8 @@ def _remove(columns: list[str], length: int, with_text: bool, chars: int = 1 <<
                 out: list[list] = [[] for _ in range(7)]
                 for t, r in zip(text, runs, strict=True):
                     whole = t.as_py()
-                    raw, r = (whole or "").encode("utf-8"), r.as_py() or []
-                    cut: list[list[int]] = []
-                    for a, b in zip(r[::2], r[1::2], strict=True):
-                        if cut and a <= cut[-1][1]:
-                            cut[-1][1] = b + length
-                        else:
-                            cut.append([a, b + length])
+                    raw = (whole or "").encode("utf-8")
+                    cut = _covered(r.as_py() or [], length)
                     kept = b"".join(raw[a:b] for a, b in zip([0, *(c[1] for c in cut)], [*(c[0] for c in cut), len(raw)], strict=True))
                     if with_text:
                         out[4].append(cut), out[5].append(kept), out[6].append(whole if not cut else kept.decode("utf-8", "ignore"))
@@ -410,13 +416,17 @@ def _remove(columns: list[str], length: int, with_text: bool, chars: int = 1 <<
                 names = ["n_bytes", "n_removed", "n_spans", "kept_sha256", "removed", "kept", "text"]
                 n = 7 if with_text else 4
                 rest = [batch.column(batch.schema.get_field_index(c)) for c in columns]
-                yield pa.RecordBatch.from_arrays([*rest, *(pa.array(c, k) for c, k in zip(out[:n], types, strict=False))], names=[*columns, *names[:n]])
+                more = [pa.array([len(_covered(r.as_py() or [], passage)) for r in batch.column(batch.schema.get_field_index("_passages"))], pa.int64())] if passage else []
+                yield pa.RecordBatch.from_arrays([*rest, *(pa.array(c, k) for c, k in zip(out[:n], types, strict=False)), *more], names=[*columns, *names[:n], *["n_passages"] * len(more)])
 
     return run
 
 
-def remove_repeats(documents: DataFrame, length: int = LENGTH, with_text: bool = True, **options: int) -> DataFrame:
-    """``documents`` with ``n_bytes, n_removed, n_spans, kept_sha256`` and, with ``with_text``, ``removed`` spans, ``kept`` bytes and the kept ``text``."""
+def remove_repeats(documents: DataFrame, length: int = LENGTH, with_text: bool = True, passage: int | None = None, **options: int) -> DataFrame:
+    """``documents`` with ``n_bytes, n_removed, n_spans, kept_sha256`` and, with ``with_text``, ``removed`` spans, ``kept`` bytes and the kept ``text``.
+
+    With ``passage``, a shorter length, also ``n_passages``: how many runs of bytes repeat in strings of so many; they stay.
+    """
     for seed in range(4):
         keyed = documents.withColumn("_key", F.xxhash64("text", F.lit(17 + seed))).withColumn("_check", F.xxhash64(F.lit(23), F.col("text")))
         clash = keyed.groupBy("_key").agg((F.min("_check") != F.max("_check")).alias("c")).agg(F.max("c")).first()[0]
@@ -424,17 +434,28 @@ def remove_repeats(documents: DataFrame, length: int = LENGTH, with_text: bool =
             break
     else:
         raise RuntimeError("two texts have one 64-bit key with every seed")
-    texts = keyed.where(F.octet_length("text") >= length).select(F.col("_key").alias("key"), "text")
-    runs = repeated_runs(texts, length, **options)
-    added = _OUT + (", removed array<array<long>>, kept binary, text string" if with_text else "")
+
+    def runs_of(n: int, name: str) -> DataFrame:
+        texts = keyed.where(F.octet_length("text") >= n).select(F.col("_key").alias("key"), "text")
+        return repeated_runs(texts, n, **options).select(F.col("key").alias("_key"), F.col("runs").alias(name))
+
+    runs = runs_of(length, "_runs")
+    if passage:
+        runs = stage(runs, "repeat-runs").join(stage(runs_of(passage, "_passages"), "repeat-passages"), "_key", "full")
+    added = _OUT + (", removed array<array<long>>, kept binary, text string" if with_text else "") + (", n_passages long" if passage else "")
     kept, schema = beside(documents, added + ("" if with_text else ", text string"))
     if not with_text:
         schema = type(schema)([f for f in schema.fields if f.name != "text"])
     columns = kept.columns
-    joined = keyed.join(runs.select(F.col("key").alias("_key"), F.col("runs").alias("_runs")), "_key", "left").withColumnRenamed("text", "_text")
-    return joined.select(*[F.col(f"`{c}`") for c in columns], "_text", "_runs").mapInArrow(_remove(columns, length, with_text), schema)
+    joined = keyed.join(runs, "_key", "left").withColumnRenamed("text", "_text")
+    found = ["_runs", "_passages"] if passage else ["_runs"]
+    return joined.select(*[F.col(f"`{c}`") for c in columns], "_text", *found).mapInArrow(_remove(columns, length, with_text, passage), schema)
+
+
+#: Bytes of a passage of some fifty words: five a word with its space, and some.
+PASSAGE = 256
 
 
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    return remove_repeats(documents, with_text=False)
+    return remove_repeats(documents, with_text=False, passage=PASSAGE)

@@ -231,6 +231,16 @@ def test_repeats_equal_brute_force(make_docs, rows, crowd):
     assert "node" in got[0].asDict() and "score" in got[0].asDict()
 
 
+def test_shorter_passages_are_counted_and_stay(make_docs):
+    rng = random.Random(12)
+    passage = prose(rng, 60)[:300]
+    rows = [(1, prose(rng, 80) + passage + prose(rng, 40)), (2, passage + prose(rng, 90)), (3, prose(rng, 200)), (4, passage[:255]), (5, None)]
+    got = {r.doc_id: r for r in suffix_dedup.remove_repeats(make_docs(rows), with_text=False, passage=256).collect()}
+    want = {i: (runs, gone) for i, _, gone, runs, _ in cut_repeats(rows, 256)}
+    assert {i: r.n_passages for i, r in got.items()} == {i: runs for i, (runs, _) in want.items()} and got[1].n_passages == got[2].n_passages == 1
+    assert Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got.values()) == cut_repeats(rows, 400)
+
+
 def test_removed_spans_and_kept_text_agree(make_docs, rows):
     for r in suffix_dedup.remove_repeats(make_docs(rows)).collect():
         assert r.n_removed == sum(b - a for a, b in r.removed) and len(r.kept) == r.n_bytes - r.n_removed
