@@ -2,7 +2,11 @@
 
 import random
 
+import os
+
 import numpy as np
+import plain
+import pytest
 
 from minewright.llm import language_id, toxicity
 
@@ -82,3 +86,56 @@ def test_codewords_differ_in_many_bits():
         m = language_id.code_matrix(n)
         apart = [(m[i] != m[j]).sum() for i in range(n) for j in range(i)]
         assert min(apart) >= max(1, m.shape[1] // 4), n
+
+
+LONG = "moronic " * 40_000 + "x" * 300_000 + " women " + "é½ ١٢ " * 1000
+
+
+def test_toxicity_scores_equal_a_plain_sum(make_docs, spark, odd_rows):
+    rows, labels = corpus(random.Random(3), 800)
+    model = toxicity.fit_toxicity(make_docs(rows), spark.createDataFrame(labels, "doc_id long, toxic int"))
+    probe = rows[:40] + odd_rows + [(99, LONG[:500_000]), (98, "Walk MORONIC trashyscummy " * 3), (97, "İstanbul ﬁne ẞ")]
+    got = [(r.doc_id, r.score) for r in toxicity.score_toxicity(make_docs(probe), model).collect()]
+    want = [(i, plain.toxic_score(t, model) if i != 99 else None) for i, t in probe]
+    key = lambda x: (repr(x[0]), round(x[1], 9))
+    assert len(got) == len(want)
+    mine, theirs = sorted((x for x in got if x[0] != 99), key=key), sorted((x for x in want if x[0] != 99), key=key)
+    assert [i for i, _ in mine] == [i for i, _ in theirs] and np.allclose([s for _, s in mine], [s for _, s in theirs], atol=1e-12)
+    assert dict(got)[99] > 0.9  # a very long text is read whole
+
+
+def test_toxicity_of_no_rows(make_docs, spark):
+    assert toxicity.score_toxicity(make_docs([]).limit(0), toxicity.ToxicityModel()).count() == 0
+    assert language_id.identify_languages(make_docs([]).limit(0), None).count() == 0
+
+
+def test_terms_come_as_a_table_and_pairs_are_reported(make_docs, spark):
+    rows, labels = corpus(random.Random(1), 400)
+    label_rows = spark.createDataFrame(labels, "doc_id long, toxic int")
+    terms = spark.createDataFrame([("sex", "women"), ("sex", "men"), ("none", "nowhere"), (None, "x"), ("x", None)], "kind string, term string")
+    with_terms = toxicity.fit_toxicity(make_docs(rows), label_rows, terms=terms)
+    mentions = sum("women" in t for _, t in rows)
+    assert (with_terms.texts, with_terms.pairs, with_terms.pairs_used) == (400, 2 * mentions - mentions, mentions)  # two steps on from one of two is itself
+    assert toxicity.fit_toxicity(make_docs(rows), label_rows, terms=[]).pairs == 0
+
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="the tables are not here")
+def test_swaps_of_terms_that_the_tables_hold(spark):
+    documents, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    fair = toxicity.fit_toxicity(documents, labels, penalty=20.0)
+    plainly = toxicity.fit_toxicity(documents, labels, penalty=0.0)
+    assert fair.pairs_used > 0 and fair.pairs >= fair.pairs_used
+    he, she = plain.feature("he", 0), plain.feature("she", 0)
+    assert abs(fair.weights[he] - fair.weights[she]) <= abs(plainly.weights[he] - plainly.weights[she])
+
+
+def test_languages_equal_a_plain_loop(make_docs, spark, odd_rows):
+    frame = spark.createDataFrame(languages(random.Random(2), 150), "doc_id long, text string, lang string")
+    coder = language_id.fit_language_id(frame)
+    probe = [(i, t) for i, t, _ in languages(random.Random(7), 30)] + odd_rows + [(50, "aba krok mimu rok"), (51, "aba " * 50_000 + "krok")]
+    got = sorted((repr(r.doc_id), r.lang_pred, r.ambiguous, round(r.score, 9)) for r in language_id.identify_languages(make_docs(probe), coder).collect())
+    want = sorted((repr(i), a, c, round(b, 9)) for i, t in probe for a, b, c in [plain.language(t, coder, 0.1)])
+    assert got == want

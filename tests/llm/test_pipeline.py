@@ -1,8 +1,18 @@
 """The pipeline's stages on a small corpus, each against what it must do."""
 
 import random
+import zlib
 
-from corpus_pipeline import STAGES, drop_near_copies, drop_repeated_passages, drop_toxic, drop_unknown_language, run
+import numpy as np
+import plain
+import public_tokenizers as P
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from corpus_pipeline import PASSAGE, STAGES, drop_near_copies, drop_repeated_passages, drop_toxic, drop_unknown_language, run
+from minewright.llm.language_id import fit_language_id
+from minewright.llm.toxicity import THRESHOLD, fit_toxicity
+from minewright.llm.words import fold
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -36,10 +46,33 @@ def test_stages_take_effect(spark, tmp_path):
     assert passage not in kept[300] and passage not in kept[301] and kept[200] == texts[200] and cut.columns == docs.columns
 
 
-def test_run_packs_what_is_left(spark, tmp_path):
-    sf_dir, texts, _ = corpus(spark, tmp_path)
-    rows = run(spark, sf_dir).collect()
-    assert len(STAGES) == 5 and {r.doc_id for r in rows} <= set(texts) and len(rows) > 70
+def test_run_equals_the_rules_in_plain_python(spark, tmp_path):
+    sf_dir, _, _ = corpus(spark, tmp_path)
+    docs, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))
+    model = fit_toxicity(docs, labels.select("doc_id", "toxic").where(fold(F.col("doc_id"), 4) != 2))
+    coder = fit_language_id(docs.where(fold(F.col("doc_id"), 3) != 1))
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    rows = [(i, t) for i, t in rows if plain.toxic_score(t, model) < THRESHOLD]
+    rows = [(i, t) for i, t in rows for lang, _, torn in [plain.language(t, coder, 0.02)] if lang != "und" and not torn]
+    rows = [min((rows[k] for k in g), key=lambda r: r[0]) for g in plain.near_groups(rows)]
+    left = [(i, kept.decode("utf-8", "ignore")) for (i, _), kept in zip(rows, plain.without_repeats([t for _, t in rows], PASSAGE), strict=True)]
+    tokenizer = Tokenizer.from_file(P.path("word_bpe_49k.json"))
+    want = set()
+    for i, t in left:
+        if t:
+            ids = np.array([*tokenizer.encode(t, add_special_tokens=False).ids, 1], "<u4")
+            want |= {(i, k, s, len(ids[s : s + 4096]), zlib.crc32(ids[s : s + 4096].tobytes())) for k, s in enumerate(range(0, len(ids), 4096))}
+    got = run(spark, sf_dir).collect()
+    assert {(r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in got} == want and len(got) == len(want) > 70 and len(STAGES) == 5
+    for sequence in {r.sequence_id for r in got}:
+        places = sorted((r.offset, r.length) for r in got if r.sequence_id == sequence)
+        assert [o for o, _ in places] == [sum(n for _, n in places[:k]) for k in range(len(places))] and sum(n for _, n in places) <= 4096
+
+
+def test_empty_documents_go_through_all_stages(spark, tmp_path):
+    spark.createDataFrame([], DOCS).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    assert run(spark, str(tmp_path)).count() == 0
 
 
 def test_near_copies_go_by_row(spark):
