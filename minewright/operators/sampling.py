@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -122,26 +124,54 @@ def length_batches(rows: DataFrame, key: str, length: str, batch: int, world: in
     return keyed.groupBy("megabatch", *(by or [])).applyInPandas(deal, schema)
 
 
-def kcenter(vectors: DataFrame, k: int, ident: str = "vec_id", vector: str = "embedding") -> DataFrame:
+def _squares(v: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """Least squared distance of each row to the centres."""
+    out = np.full(len(v), np.inf)
+    for c in centres:
+        np.minimum(out, ((v - c) ** 2).sum(axis=1), out=out)
+    return out
+
+
+def kcenter(vectors: DataFrame, k: int, ident: str = "vec_id", vector: str = "embedding", ahead: int = 512) -> DataFrame:
     """``step, id`` of a greedy k-center choice: from the smallest id on, always the row farthest from all chosen.
 
-    A round is one pass over the staged rows with the newest centre broadcast; a row keeps its least distance.
+    A round is one pass over the staged rows with the newest centres; a row keeps its least distance.  It brings the
+    ``ahead`` farthest rows to the driver, and as distances only shrink, the choice goes on among these while their
+    farthest is farther than any row that was left behind; so a round gives many exact steps.
     """
     live = stage(vectors.select(F.col(ident).alias("id"), F.col(vector).cast("array<double>").alias("v")).where("v IS NOT NULL").withColumn("d", F.lit(float("inf"))), "kcenter")
-    chosen: list[int] = []
     first = live.orderBy("id").first()
-    centre = first
-    while centre is not None and len(chosen) < k:
-        chosen.append(centre.id)
-        c = F.array(*[F.lit(float(x)) for x in centre.v])
-        square = F.aggregate(F.zip_with("v", c, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda a, x: a + x)
-        live = live.withColumn("d", F.least("d", square))
-        if len(chosen) % 8 == 0:  # keeps the expression short
-            live, old = stage(live, "kcenter"), live
-            drop_staged(old)
-        centre = live.where(~F.col("id").isin(chosen)).select("id", "v", "d").orderBy(F.desc("d"), "id").first()
-    spark = vectors.sparkSession
-    return spark.createDataFrame([(i, x) for i, x in enumerate(chosen)], "step int, id long")
+    chosen: list[int] = []
+    new = [np.array(first.v)] if first and k > 0 else []
+    if new:
+        chosen.append(first.id)
+    while new and len(chosen) < k:
+        centres = np.stack(new)
+
+        def nearer(batches: Iterator[pa.RecordBatch], centres: np.ndarray = centres) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                v = b.column(1).flatten().to_numpy().reshape(b.num_rows, -1) if b.num_rows else np.zeros((0, centres.shape[1]))
+                yield pa.record_batch([b.column(0), b.column(1), pa.array(np.minimum(b.column(2).to_numpy(), _squares(v, centres)))], names=["id", "v", "d"])
+
+        live, old = stage(live.mapInArrow(nearer, live.schema), "kcenter"), live
+        drop_staged(old)
+        far = live.where(~F.col("id").isin(chosen)).orderBy(F.desc("d"), "id").limit(ahead).collect()
+        new = []
+        if not far:
+            break
+        ids, v, d = np.array([r.id for r in far]), np.array([r.v for r in far]), np.array([r.d for r in far])
+        left = d[-1] if len(far) == ahead else -1.0  # no row left behind is farther
+        while len(chosen) < k and len(ids):
+            at = np.lexsort((ids, -d))[0]
+            if new and not d[at] > left:
+                break
+            chosen.append(int(ids[at]))
+            new.append(v[at])
+            d = np.minimum(d, _squares(v, v[at : at + 1]))
+            keep = np.arange(len(ids)) != at
+            ids, v, d = ids[keep], v[keep], d[keep]
+    drop_staged(live)
+    return vectors.sparkSession.createDataFrame([(i, x) for i, x in enumerate(chosen)], "step int, id long")
 
 
 def windows(tokens: Column, max_len: int, context: int = 1) -> Column:

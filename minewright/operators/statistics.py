@@ -11,11 +11,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def bootstrap(values: DataFrame, by: list[str], value: str, statistic=np.mean, iterations: int = 1000, chunk: int = 100, bound: int = 2_000_000) -> DataFrame:
+def bootstrap(values: DataFrame, by: list[str], value: str, statistic=np.mean, iterations: int = 1000, chunk: int = 100) -> DataFrame:
     """``stderr, low, high`` of a statistic per group, by resampling with replacement.
 
-    A group of up to ``bound`` values is resampled in ``iterations / chunk`` tasks, each with its own seed; for means larger
-    groups are first reduced to counts of their distinct values, which is the same resampling by weights.
+    A group is first reduced to counts of its distinct values, which is the same resampling by weights, and resampled in
+    ``iterations / chunk`` tasks, each with its own seed; a task holds a group's distinct values.
     """
     counts = values.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("_n"))
     tasks = counts.crossJoin(F.broadcast(values.sparkSession.range(math.ceil(iterations / chunk)).withColumnRenamed("id", "_chunk")))  # a few rows
