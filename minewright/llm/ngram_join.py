@@ -34,6 +34,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -182,11 +183,12 @@ def _isin(s: np.ndarray, table: np.ndarray) -> np.ndarray:
     return table[np.minimum(np.searchsorted(table, s), len(table) - 1)] == s
 
 
-_BLOCK = pa.schema([("block", pa.int32()), ("node", pa.binary()), ("n", pa.binary()), ("count", pa.binary()), ("s", pa.binary())])
-_BLOCK_DDL = "block int, node binary, n binary, count binary, s binary"
+_BLOCK = pa.schema([("block", pa.int32()), ("node", pa.binary()), ("count", pa.binary()), ("s", pa.binary())])
+_BLOCK_DDL = "block int, node binary, count binary, s binary"
+_RUN = 60_000
 
 
-def _cut(block: np.ndarray, doc: np.ndarray, s: np.ndarray, node: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+def _cut(block: np.ndarray, doc: np.ndarray, s: np.ndarray, node: np.ndarray) -> Iterator[pa.RecordBatch]:
     """Entries of the matrix by block: runs of a document's entries, the document once for each run."""
     order = np.lexsort((doc, block))
     block, doc, s = block[order], doc[order], s[order]
@@ -195,8 +197,9 @@ def _cut(block: np.ndarray, doc: np.ndarray, s: np.ndarray, node: np.ndarray, n:
     for a, b in zip(np.append(0, edges), np.append(edges, len(block)), strict=True):
         if a < b:
             start = np.append(0, np.flatnonzero(np.diff(doc[a:b])) + 1)
-            who = doc[a:b][start]
-            rows.append((int(block[a]), node[who].tobytes(), n[who].astype("<u4").tobytes(), np.diff(np.append(start, b - a)).astype("<u4").tobytes(), s[a:b].tobytes()))
+            if (np.diff(np.append(start, b - a)) > _RUN).any():  # counts have two bytes
+                start = np.unique(np.concatenate([start, np.arange(0, b - a, _RUN)]))
+            rows.append((int(block[a]), node[doc[a:b][start]].tobytes(), np.diff(np.append(start, b - a)).astype("<u2").tobytes(), s[a:b].tobytes()))
     if rows:
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), _BLOCK.types, strict=True)], schema=_BLOCK)
 
@@ -214,7 +217,7 @@ def _entries(seed: int, frequent: np.ndarray, blocks: int, flush: int = 300_000,
             s, doc = np.concatenate(held), np.repeat(np.arange(len(held)), n)
             keep = ~_isin(s, frequent)
             s, doc = s[keep], doc[keep]
-            yield from _cut(((s >> np.uint64(17)) % np.uint64(blocks)).astype(np.int32), doc, s, np.array(nodes, np.int64), n)
+            yield from _cut(((s >> np.uint64(17)) % np.uint64(blocks)).astype(np.int32), doc, s, np.array(nodes, np.int64))
 
         size = 0
         for batch in batches:
@@ -236,70 +239,75 @@ def _entries(seed: int, frequent: np.ndarray, blocks: int, flush: int = 300_000,
     return run
 
 
-def _open(t: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """``node, n, s`` of every entry of a block."""
-    col = lambda name, kind: np.frombuffer(b"".join(t[name].to_pylist()), kind)
-    count = col("count", "<u4")
-    return np.repeat(col("node", "<i8"), count), np.repeat(col("n", "<u4"), count), col("s", "<u8")
-
-
 _SHARED_DDL = "part int, node binary, n binary, s binary, df binary"
+_SHARED = (("part", pa.int32()), ("node", pa.binary()), ("n", pa.binary()), ("s", pa.binary()), ("df", pa.binary()))
 
 
 def _shared(parts: int):
     """Entries of the block's columns that two rows or more have, dealt by row."""
 
     def run(key: tuple[pa.Scalar, ...], t: pa.Table) -> pa.Table:
-        node, n, s = _open(t)
+        col = lambda name, kind: np.frombuffer(b"".join(t[name].to_pylist()), kind)
+        node, s = np.repeat(col("node", "<i8"), col("count", "<u2")), col("s", "<u8")
         order = np.lexsort((node, s))
-        node, n, s = node[order], n[order], s[order]
-        new = np.append(True, (s[1:] != s[:-1]) | (node[1:] != node[:-1]))  # copies are one row
-        node, n, s = node[new], n[new], s[new]
-        start = np.flatnonzero(np.append(True, s[1:] != s[:-1]))
+        node, s = node[order], s[order]
+        new = np.append(True, (s[1:] != s[:-1]) | (node[1:] != node[:-1]))[: len(s)]  # copies are one row
+        node, s = node[new], s[new]
+        start = np.flatnonzero(np.append(True, s[1:] != s[:-1])[: len(s)])
         df = np.diff(np.append(start, len(s)))
         df = np.repeat(df, df)
         many = df > 1
-        node, n, s, df = node[many], n[many], s[many], df[many]
+        node, s, df = node[many], s[many], df[many]
         part = (node.view(np.uint64) % np.uint64(parts)).astype(np.int32)
         order = np.argsort(part, kind="stable")
         cuts = np.flatnonzero(np.diff(part[order])) + 1
-        rows = [(int(part[i[0]]), node[i].tobytes(), n[i].astype("<u4").tobytes(), s[i].tobytes(), df[i].astype("<u4").tobytes()) for i in np.split(order, cuts) if len(i)]
-        return pa.table({c: pa.array([r[k] for r in rows], t) for k, (c, t) in enumerate((("part", pa.int32()), ("node", pa.binary()), ("n", pa.binary()), ("s", pa.binary()), ("df", pa.binary())))})
+        rows = [(int(part[i[0]]), node[i].tobytes(), b"", s[i].tobytes(), df[i].astype("<u4").tobytes()) for i in np.split(order, cuts) if len(i)]
+        return pa.table({c: pa.array([r[k] for r in rows], t) for k, (c, t) in enumerate(_SHARED)})
 
     return run
 
 
 def _often(parts: int):
-    """The frequent columns' entries, dealt by row."""
+    """Every row's size, and its entries of frequent columns, dealt by row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            node, n = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            part = (node.view(np.uint64) % np.uint64(parts)).astype(np.int32)
+            often = [np.frombuffer(x.as_py(), "<u8") for x in batch.column(2)]
             rows = []
-            for r in batch.to_pylist():
-                k = len(r["often"]) // 8
-                if k:
-                    rows.append((r["node"] % (1 << 64) % parts, np.full(k, r["node"], "<i8").tobytes(), np.full(k, r["n"], "<u4").tobytes(), r["often"], np.full(k, 2**32 - 1, "<u4").tobytes()))
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int32(), *[pa.binary()] * 4), strict=True)], names=["part", "node", "n", "s", "df"])
+            for i in np.split(np.argsort(part, kind="stable"), np.flatnonzero(np.diff(np.sort(part))) + 1):
+                if len(i):
+                    has = [j for j in i.tolist() if len(often[j])]
+                    size = [len(often[j]) for j in has]
+                    rows.append((int(part[i[0]]), node[i].tobytes(), n[i].astype("<u4").tobytes(), b"", b""))
+                    rows.append((int(part[i[0]]), np.repeat(node[has], size).tobytes(), b"", b"".join(often[j].tobytes() for j in has), np.full(sum(size), 2**32 - 1, "<u4").tobytes()))
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, (_, t) in enumerate(_SHARED)], names=[c for c, _ in _SHARED])
 
     return run
 
 
 def _nodes(docs: DataFrame) -> DataFrame:
-    """A row for each distinct set that has frequent columns; copies go before and after the shuffle, not into a group of ``_rows``."""
-    return docs.where("node IS NOT NULL AND length(often) > 0").groupBy("node").agg(F.first("n").alias("n"), F.first("often").alias("often"))
+    """A row for each distinct set; copies go before and after the shuffle, not into a group of ``_rows``."""
+    return docs.where("node IS NOT NULL").groupBy("node").agg(F.first("n").alias("n"), F.first("often").alias("often"))
 
 
 def _rows(key: tuple[pa.Scalar, ...], t: pa.Table) -> pa.Table:
     """Rows that can have a partner, with their leading columns and all shared ones."""
-    node, n, s, df = (np.frombuffer(b"".join(t[c].to_pylist()), k) for c, k in (("node", "<i8"), ("n", "<u4"), ("s", "<u8"), ("df", "<u4")))
+    col = lambda x, name, kind: np.frombuffer(b"".join(x[name].to_pylist()), kind)
+    is_size = pc.greater(pc.binary_length(t["n"]), 0)
+    sizes, t = t.filter(is_size), t.filter(pc.invert(is_size))
+    known, size_of = col(sizes, "node", "<i8"), col(sizes, "n", "<u4").astype(np.int64)
+    order = np.argsort(known)
+    known, size_of = known[order], size_of[order]
+    node, s, df = col(t, "node", "<i8"), col(t, "s", "<u8"), col(t, "df", "<u4")
     order = np.lexsort((s, df, node))
-    node, n, s, df = node[order], n[order].astype(np.int64), s[order], df[order]
+    node, s = node[order], s[order]
     new = np.append(True, (s[1:] != s[:-1]) | (node[1:] != node[:-1]))[: len(s)]
-    node, n, s = node[new], n[new], s[new]
+    node, s = node[new], s[new]
     start = np.flatnonzero(np.append(True, node[1:] != node[:-1])[: len(node)])
     have = np.diff(np.append(start, len(node)))
-    size = n[start]
+    size = size_of[np.searchsorted(known, node[start])] if len(start) else have
     out: list[list] = [[], [], [], []]
     for i in np.flatnonzero(have >= least_overlap(size)):
         own = s[start[i] : start[i] + have[i]]
@@ -382,7 +390,7 @@ def link_rows(rows: DataFrame, family_rows: int = 4096, chunk: int = 512) -> Dat
     return full.groupBy("meet", "i", "j").applyInArrow(_multiply, "u long, v long")
 
 
-def ngram_components(documents: DataFrame, block_entries: int = 1_000_000) -> DataFrame:
+def ngram_components(documents: DataFrame, block_entries: int = 2_000_000) -> DataFrame:
     """``doc_id, n_shingles, component_id`` of every row of ``documents``."""
     spark = documents.sparkSession
     texts = documents.select("doc_id", "text")
