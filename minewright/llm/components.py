@@ -1,9 +1,9 @@
 """Connected components by alternating large-star and small-star steps.
 
 Every step is a grouped minimum (with partial aggregation, so that a node with
-very many neighbours costs no more than its rows) and a join that Spark can
-split where a node is hot.  Edges are staged between rounds; nothing of them
-passes through the driver but two numbers that tell whether a round changed
+very many neighbours costs no more than its rows) and a join; nodes with a ten-
+thousandth of the edges or more are joined by broadcast.  Edges are staged between rounds; nothing of them
+passes through the driver but those hubs and two numbers that tell whether a round changed
 anything.
 """
 
@@ -15,14 +15,23 @@ from pyspark.sql import functions as F
 from minewright.staging import drop_staged, stage
 
 
-def _star(edges: DataFrame, small: bool) -> DataFrame:
+#: A node with more neighbours than this and than the edges' ten-thousandth is met by broadcast; there are ten thousand of them at most.
+HOT, SHARE = 1000, 10_000
+
+
+def _star(edges: DataFrame, small: bool, total: int) -> DataFrame:
     """``u, v`` rows hung on each node's smallest neighbour: the larger ones by large-star, the smaller ones by small-star."""
     if small:
         e = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     else:
         e = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    low = e.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("m", "u"))
-    hung = e.join(low, "u")
+    low = e.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n")).withColumn("m", F.least("m", "u"))
+    hot = low.where(F.col("n") > max(HOT, 2 * total // SHARE)).select("u", "m").collect() if total > HOT else []
+    if hot:
+        hubs = F.broadcast(edges.sparkSession.createDataFrame(hot, "u long, m long"))
+        hung = e.join(hubs, "u").union(e.join(hubs.select("u"), "u", "left_anti").join(low.select("u", "m"), "u"))
+    else:
+        hung = e.join(low.select("u", "m"), "u")
     if small:
         out = hung.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(low.select("u", F.col("m").alias("v")))
     else:
@@ -38,9 +47,9 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     edges = edges.where("u IS NOT NULL AND v IS NOT NULL")
     current = stage(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
     loops = current.where("u = v").select(F.col("u").alias("node"))
-    work, seen = current.where("u <> v"), None
+    work, seen, total = current.where("u <> v"), None, current.count()
     for _ in range(max_rounds):
-        step = stage(_star(_star(work, small=False), small=True), "edges")
+        step = stage(_star(_star(work, small=False, total=total), small=True, total=total), "edges")
         now = tuple(step.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
         if hasattr(work, "_staged_at"):
             drop_staged(work)
