@@ -7,8 +7,8 @@ of it is native DataFrame work.
 
 Defined cases: a null URL or one without ``://`` has an empty host and path and
 gets the default verdict; repeated rows each get a row; of rules with the same
-host and path, block wins; a rule with a null host or path is no rule; extra
-columns of the pages do not matter, since only the id and the URL are read.
+host and path, block wins; a rule with a null host or path is no rule, and one
+whose path does not begin with a slash fits no URL's path; extra columns of the pages do not matter, since only the id and the URL are read.
 """
 
 from __future__ import annotations
@@ -28,6 +28,11 @@ def url_path(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, _PARTS, 2), F.lit(""))
 
 
+def _digest(host: Column, path: Column) -> Column:
+    """Digest of an expression in which host and path can't run into each other."""
+    return F.sha2(F.concat(F.length(host).cast("string"), F.lit(":"), host, path), 256)
+
+
 def make_rules(spark: SparkSession, rules: list[tuple[str, str, str]]) -> DataFrame:
     """``(host, path, verdict)`` rows as a table."""
     rows = [F.struct(F.lit(h).alias("host"), F.lit(p).alias("path"), F.lit(v).alias("verdict")) for h, p, v in rules]
@@ -51,10 +56,10 @@ def judge_urls(
         .select(F.translate("host", _UPPER, _LOWER).alias("r_host"), F.col("path").alias("r_path"), "verdict")
         .groupBy("r_host", "r_path").agg(F.max("verdict").alias("verdict"))
         .withColumn("rule", F.concat("r_host", "r_path"))
-        .withColumn("digest", F.sha2("rule", 256))
+        .withColumn("digest", _digest(F.col("r_host"), F.col("r_path")))
         .withColumn("short", F.substring("digest", 1, prefix_hex))
     )
-    # The shapes that rules have: (labels of the host, length of the path). Bounded by what a URL can be, not by the rules.
+    # The shapes that rules have: (labels of the host, length of the path); as many as different ones, whatever the number of rules.
     shapes = rules.select(F.size(F.split("r_host", r"\.")).alias("n"), F.length("r_path").alias("m")).distinct()
     found = [(r.n, r.m) for r in shapes.collect()]
     n_rules = rules.count()
@@ -66,11 +71,11 @@ def judge_urls(
     labels = F.split("host", r"\.")
     shape = F.array(*[F.struct(F.lit(n).alias("n"), F.lit(m).alias("m")) for n, m in sorted(found)])
     fits = F.filter(shape, lambda s: (s["n"] <= F.size(labels)) & (s["m"] <= F.length("path")))
-    expressions = F.transform(fits, lambda s: F.concat(F.concat_ws(".", F.slice(labels, F.size(labels) - s["n"] + 1, s["n"])), F.substring(F.col("path"), F.lit(1), s["m"])))
+    expressions = F.transform(fits, lambda s: F.struct(F.concat_ws(".", F.slice(labels, F.size(labels) - s["n"] + 1, s["n"])).alias("h"), F.substring(F.col("path"), F.lit(1), s["m"]).alias("p")))
     hashed = (
         keyed.distinct()
         .withColumn("expression", F.explode(expressions))
-        .select("_id", "host", "path", F.sha2("expression", 256).alias("url_digest"))
+        .select("_id", "host", "path", _digest(F.col("expression.h"), F.col("expression.p")).alias("url_digest"))
         .withColumn("url_short", F.substring("url_digest", 1, prefix_hex))
     )
     side = F.broadcast(rules) if n_rules <= max_broadcast_rules else rules

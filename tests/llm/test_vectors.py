@@ -161,4 +161,23 @@ def test_url_rules(spark):
     }
     assert judge_urls(pages.limit(0), make_rules(spark, OP5_RULES)).count() == 0
     assert {r.verdict for r in judge_urls(pages, make_rules(spark, [])).collect()} == {"allow"}
-    assert [r for r in judge_urls(pages, make_rules(spark, OP5_RULES), max_broadcast_rules=0).collect()] is not None
+    shuffled = judge_urls(pages, make_rules(spark, OP5_RULES), max_broadcast_rules=0).collect()
+    assert Counter(map(tuple, shuffled)) == Counter(map(tuple, got))
+
+
+def test_host_and_path_of_a_rule_stay_apart(spark):
+    pages = spark.createDataFrame([(1, "http://x.comen/a"), (2, "http://x.com/en"), (3, "http://com/x")], "page_id long, url string")
+    rules = make_rules(spark, [("com", "en", "block"), ("comen", "", "allow"), ("com", "", "block")])
+    assert {r.page_id: (r.rule, r.verdict) for r in judge_urls(pages, rules).collect()} == {1: ("comen", "allow"), 2: ("com", "block"), 3: ("com", "block")}
+
+
+def test_recall_of_the_buckets_alone(spark):
+    rng = np.random.default_rng(21)
+    base = rng.standard_normal((150, 64))
+    x = np.concatenate([base + rng.standard_normal(base.shape) * s for s in (0.0, 0.2, 0.3, 0.22)])  # cosines about the threshold
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    near = int((x @ x.T >= 0.95).sum()) - len(rows)
+    alone = vector_links(spark.createDataFrame(rows, "id long, v array<double>"), family_rows=1)
+    found = sum(r.n_links for r in alone.collect())
+    assert near > 500 and 0.99 * near <= found <= near
