@@ -4,9 +4,10 @@ The vector's components are dealt to ``lists`` lists.  A task holds one list's
 components of a block of candidates and sees only local scores; a candidate's
 score is the sum over the lists.
 
-1. Every list gives each query its best ``k`` local scores.  The candidates met
-   there are scored exactly, and the k-th best score of a query is a cutoff below
-   which no answer can lie.
+1. Every list gives each query its best ``depth * k`` local scores.  The
+   candidates met there are scored exactly, and the k-th best score of a query is
+   a cutoff below which no answer can lie; the deeper the lists are read, the
+   higher it is and the less is collected.
 2. The cutoff goes back to the lists with the queries.  A candidate that stays
    under ``cutoff / lists`` in every list can't reach it, so each list collects
    only entries at or over that uniform threshold; nothing else leaves a list.
@@ -166,13 +167,13 @@ def _meet(candidates: DataFrame, queries: DataFrame) -> DataFrame:
     return candidates.join(F.broadcast(queries), ["dim", "list"])
 
 
-def cutoffs(candidates: DataFrame, queries: DataFrame, k: int) -> DataFrame:
+def cutoffs(candidates: DataFrame, queries: DataFrame, k: int, depth: int = 16) -> DataFrame:
     """``q, cutoff`` of queries for which ``k`` candidates were met at the heads of the lists."""
-    heads = _meet(candidates, queries).mapInArrow(_heads(k), _ENTRY_DDL)
+    heads = _meet(candidates, queries).mapInArrow(_heads(k * depth), _ENTRY_DDL)
     local = Window.partitionBy("q", "list").orderBy(F.desc("local"), "c")
-    met = heads.withColumn("n", F.row_number().over(local)).where(F.col("n") <= k).select("q", "c", "lists").distinct()
+    met = heads.withColumn("n", F.row_number().over(local)).where(F.col("n") <= k * depth).select("q", "c", "lists").distinct()
     every = met.select("q", "c", F.explode(F.sequence(F.lit(0), F.col("lists") - 1)).alias("list"))
-    # k * lists candidates of each query at most: bounded like the queries themselves.
+    # k * depth * lists candidates of each query at most: a group's queries are as many as keep that under group_bytes.
     exact = _resolve(every, candidates, queries, bounded=True).groupBy("q", "c").agg(F.sum("local").alias("score"))
     return exact.withColumn("n", F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score")))).where(F.col("n") == k).select("q", F.col("score").alias("cutoff"))
 
@@ -202,7 +203,7 @@ def collect_entries(candidates: DataFrame, queries: DataFrame, known: DataFrame)
 
 def topk_search(
     vectors: DataFrame, queries: DataFrame, k: int = 5, lists: int = 2,
-    query_block: int = 2048, candidate_block: int = 4096, group_bytes: int = 32 << 20,
+    query_block: int = 2048, candidate_block: int = 4096, group_bytes: int = 32 << 20, depth: int = 16,
 ) -> DataFrame:
     """``query_id, rank, vec_id, score``: each query's k greatest inner products among ``vectors`` but itself.
 
@@ -214,16 +215,16 @@ def topk_search(
     fits = lambda rows: max(1, min(rows, group_bytes // (8 * width)))
     c = stage(pack_blocks(vectors, fits(candidate_block), lists, n_c), "topk-candidates")
     q = stage(pack_blocks(queries, fits(query_block), lists, n_q).select("dim", "list", F.col("block").alias("q_block"), F.col("ids").alias("q_ids"), F.col("data").alias("q_data")), "topk-queries")
-    per_group = max(1, group_bytes // (8 * width * fits(query_block)))
+    per_group = max(1, group_bytes // (max(8 * width, 16 * k * depth * lists) * fits(query_block)))
     found = []
     for group in range(-(-max(1, -(-n_q // fits(query_block))) // per_group)):
         own = q.where(F.expr(f"q_block div {per_group} = {group}"))
-        known = stage(cutoffs(c, own, k), "topk-cutoffs")
+        known = stage(cutoffs(c, own, k, depth), "topk-cutoffs")
         entries = stage(collect_entries(c, own, known), "topk-entries")
-        seen = entries.groupBy("q", "c", "query_id", "vec_id", "lists").agg(F.sum("local").alias("sum"), F.count(F.lit(1)).alias("n"), F.collect_set("list").alias("seen"))
-        done = seen.where("n = lists").select("q", "query_id", "vec_id", F.col("sum").alias("score"))
-        open_ = seen.where("n < lists")
-        asked = open_.select("q", "c", F.explode(F.expr("array_except(sequence(0, lists - 1), seen)")).alias("list"))
+        seen = entries.groupBy("q", "c", "query_id", "vec_id", "lists").agg(F.sum("local").alias("sum"), F.bit_or(F.expr("shiftleft(1L, list)")).alias("seen"))
+        done = seen.where("bit_count(seen) = lists").select("q", "query_id", "vec_id", F.col("sum").alias("score"))
+        open_ = seen.where("bit_count(seen) < lists")
+        asked = open_.select("q", "c", F.explode(F.expr("filter(sequence(0, lists - 1), l -> (seen & shiftleft(1L, l)) = 0)")).alias("list"))
         rest = _resolve(asked, c, own, bounded=False).select("q", "c", "query_id", "vec_id", "local")
         whole = rest.union(open_.select("q", "c", "query_id", "vec_id", F.col("sum").alias("local"))).groupBy("q", "c", "query_id", "vec_id").agg(F.sum("local").alias("score"))
         scores = done.union(whole.select("q", "query_id", "vec_id", "score")).join(known, "q", "left").where("cutoff IS NULL OR score >= cutoff")
