@@ -39,17 +39,25 @@ def yes_no(reply: Column) -> Column:
     )
 
 
-#: Openings of an answer that carry no choice. The second is one string of two, as its users have it.
-ANSWER_OPENINGS = ["The best answer is", "The correct answer is", "The answer is", "The answer", "The best option isThe correct option is", "Best answer:", "Best option:"]
+#: Openings of an answer that carry no choice. The last two are strings of two each, as their users have them.
+ANSWER_OPENINGS = ["The best answer is", "The correct answer is", "The answer is", "The answer", "The best option isThe correct option is", "Best answer:Best option:"]
+#: The same openings one by one, as those who choose among five have them.
+OPENINGS_APART = ["The best answer is", "The correct answer is", "The answer is", "The answer", "The best option is", "The correct option is", "Best answer:", "Best option:"]
 
 
-def choice_letter(reply: Column, letters: str = "ABCD") -> Column:
-    """The first choice letter after the openings; empty for over ten words without one."""
+def choice_letter(reply: Column, letters: str = "ABCD", openings: list[str] = ANSWER_OPENINGS, choices: Column | None = None) -> Column:
+    """The first choice letter after the openings; empty for over ten words without one.
+
+    With ``choices`` (``(A) text``) a reply of up to ten words without a letter takes that of the first choice that holds it.
+    """
     s = F.trim(reply)
-    for opening in ANSWER_OPENINGS:
+    for opening in openings:
         s = F.replace(s, F.lit(opening), F.lit(""))
     found = F.regexp_extract(s, f"[{letters}]", 0)
-    return F.coalesce(found, F.lit(""))
+    if choices is None:
+        return F.coalesce(found, F.lit(""))
+    held = F.try_element_at(F.filter(choices, lambda c: F.contains(F.lower(c), F.lower(s))), F.lit(1))
+    return F.coalesce(F.when(found != "", found).when(F.size(words(s)) <= 10, F.substring(held, 2, 1)), F.lit(""))
 
 
 def leading_choice(answer: Column, reply: Column) -> Column:

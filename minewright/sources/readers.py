@@ -61,3 +61,18 @@ def mixture_entry(spark: SparkSession, path: str, schema: str | None = None) ->
         raise ValueError(f"unknown dataset format: {path}")
     reader = spark.read if schema is None else spark.read.schema(schema)
     return (reader.option("multiLine", True) if path.endswith(".json") else reader).json(braces(path))
+
+
+def mixture_entries(spark: SparkSession, paths: list[str], schema: str | None = None) -> DataFrame:
+    """The datasets of a list under each other; columns that one lacks are null there."""
+    if not paths:
+        raise ValueError("no datasets")
+    out = mixture_entry(spark, paths[0], schema)
+    for p in paths[1:]:
+        out = out.unionByName(mixture_entry(spark, p, schema), allowMissingColumns=True)
+    return out
+
+
+def logged_replies(spark: SparkSession, path: str, schema: str, key: str, reply: str, order: str) -> DataFrame:
+    """``key, reply`` of logs of earlier runs; the last one logged for a key counts."""
+    return spark.read.schema(schema).json(path).where(F.col(key).isNotNull()).groupBy(key).agg(F.max_by(reply, order).alias(reply))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
 def write_lines(rows: DataFrame, column: str, path: str) -> None:
@@ -19,9 +20,33 @@ def write_domain_stats(counts: DataFrame, path: str) -> None:
 
 
 def write_pages(pages: DataFrame, path: str) -> None:
-    """Pages under the first bytes of their URL's digest."""
+    """Pages under the first and the second byte of their URL's digest."""
     key = F.md5("url")
-    pages.withColumn("key", key).withColumn("p1", F.substring(key, 1, 2)).write.mode("overwrite").partitionBy("p1").json(path)
+    keyed = pages.withColumn("key", key).withColumn("p1", F.substring(key, 1, 2)).withColumn("p2", F.substring(key, 3, 2))
+    keyed.write.mode("overwrite").partitionBy("p1", "p2").json(path)
+
+
+def write_inline_images(images: DataFrame, page: str, uri: str, path: str) -> None:
+    """A record for each page with its distinct inline images, in order."""
+    images.where(F.col(uri).isNotNull()).groupBy(page).agg(F.array_sort(F.collect_set(uri)).alias("images")).write.mode("overwrite").json(path)
+
+
+def write_page_items(items: DataFrame, page: str, valid: str, path: str) -> None:
+    """A record for each page with its valid items; a page without any gets none."""
+    rest = [c for c in items.columns if c not in (page, valid)]
+    items.where(F.col(valid)).groupBy(page).agg(F.collect_list(F.struct(*rest)).alias("qa_items")).write.mode("overwrite").json(path)
+
+
+def write_submission(answers: DataFrame, key: str, value: str, order: str, path: str) -> None:
+    """One answer for each key, the last in order."""
+    answers.groupBy(key).agg(F.max_by(value, order).alias(value)).orderBy(key).write.mode("overwrite").json(path)
+
+
+def write_dataset(rows: DataFrame, split: str, schema: str, path: str) -> None:
+    """Rows cast to a dataset's schema, a folder for each split; a column that the schema lacks does not go along."""
+    types = StructType.fromDDL(schema)
+    typed = rows.select(split, *[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in types.fields if f.name != split])
+    typed.write.mode("overwrite").partitionBy(split).parquet(path)
 
 
 def write_split(rows: DataFrame, valid: str, path: str) -> None:
@@ -48,3 +73,9 @@ def results_table(results: DataFrame) -> str:
 def flat_metrics(results: DataFrame) -> DataFrame:
     """``task/metric`` keys without a trailing ``,none``."""
     return results.select(F.concat_ws("/", "task", F.regexp_replace("metric", ",none$", "")).alias("key"), "value")
+
+
+def split_metrics(results: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Numbers to log and texts for the summary, of results whose ``value`` is text; keys as in ``flat_metrics``."""
+    flat = flat_metrics(results).withColumn("number", F.col("value").try_cast("double"))
+    return flat.where("number IS NOT NULL").select("key", F.col("number").alias("value")), flat.where("number IS NULL AND value IS NOT NULL").select("key", "value")
