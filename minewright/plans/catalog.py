@@ -28,3 +28,18 @@ def query(name: str, oracle: str | None = None):
 
 
 from minewright.plans import answers, joins, lookups, pages, replies, sampling, scores, texts, urls  # noqa: E402,F401  register on import
+
+#: Other names of queries: forms that once read a part of their table or text, which now do the whole job.
+ALSO = {
+    "exact_match_norm": "exact_match_turns",
+    "token_f1": "token_f1_turns",
+    "jaccard": "jaccard_turns",
+    "image_mark_first": "image_mark_whole",
+    "filter_regex": "filter_regex_all",
+    "filter_chain": "filter_chain_all",
+    "majority_vote": "majority_vote_all",
+    "consensus_accuracy": "consensus_accuracy_all",
+    "fuzzy_name_match": "fuzzy_name_match_all",
+    "near_match": "near_names",
+}
+CATALOG.update({name: CATALOG[of] for name, of in ALSO.items()})

@@ -109,16 +109,6 @@ def reference_row(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "conversations").select("conv_id", "turn", (F.first("text").over(w) == F.col("text")).alias("same_as_first"))
 
 
-@query("fuzzy_name_match", """
-WITH n AS (SELECT p_partkey, regexp_replace(lower(p_name), '[^a-z0-9]', '', 'g') AS stem, p_brand FROM part),
-q AS (SELECT p_partkey AS image, stem, p_brand, substr(stem, 1, 5) AS cut FROM n WHERE p_partkey % 10 = 0)
-SELECT image, min(n.p_partkey) AS file FROM q JOIN n ON n.p_brand = q.p_brand AND (contains(n.stem, q.cut) OR contains(q.cut, n.stem)) GROUP BY image""")
-def fuzzy_name_match(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Names matched within their group by containment of alphanumeric stems either way, the first by key."""
-    names = table(spark, sf_dir, "part").select("p_partkey", "p_brand", F.regexp_replace(F.lower("p_name"), "[^a-z0-9]", "").alias("stem"))
-    return _least_file(names.where("p_partkey % 10 = 0").withColumn("text", F.substring("stem", 1, 5)), names, 5)
-
-
 def _least_file(asked: DataFrame, names: DataFrame, longest: int | None) -> DataFrame:
     asked = asked.select(F.col("p_partkey").alias("image"), F.col("p_brand").alias("group"), "text")
     found = J.least_contained(asked.select("group", "text"), names.select(F.col("p_brand").alias("group"), F.col("stem").alias("text"), F.col("p_partkey").alias("key")), longest)

@@ -111,14 +111,6 @@ def role_remap(spark: SparkSession, sf_dir: str) -> DataFrame:
     return talk.select("conv_id", F.transform(C.chat_roles(turns, "You are helpful."), lambda x: x["role"]).alias("roles"))
 
 
-@query("image_mark_first", r"""
-SELECT conv_id, turn, CASE WHEN turn % 2 = 0 THEN '<image>' || chr(10) || trim(left(text, 30)) ELSE left(text, 30) END AS marked FROM conversations""")
-def image_mark_first(spark: SparkSession, sf_dir: str) -> DataFrame:
-    head = F.substring("text", 1, 30)
-    marked = F.when(F.col("turn") % 2 == 0, F.concat(head, F.lit("<image>"))).otherwise(head)
-    return table(spark, sf_dir, "conversations").select("conv_id", "turn", C.image_first(marked).alias("marked"))
-
-
 @query("image_mark_whole", r"""
 SELECT conv_id, turn, CASE WHEN turn % 2 = 0 THEN '<image>' || chr(10) || trim(text) ELSE text END AS marked FROM conversations""")
 def image_mark_whole(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -28,13 +28,3 @@ def choice_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     options = F.array("c_mktsegment", F.lit("nothing of it"), F.lit("all of it"))
     reply = F.when(F.col("c_custkey") % 3 == 0, "I say (B)").when(F.col("c_custkey") % 3 == 1, F.concat(F.lit("it is more or less of the kind "), F.lower("c_mktsegment"))).otherwise("who knows")
     return table(spark, sf_dir, "customer").select("c_custkey", choices.choice(reply, options, F.col("c_custkey")).alias("choice"))
-
-
-@query("near_match", "SELECT p_partkey, true AS near, true AS same FROM part")
-def near_match(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Names with two letters swapped stay near."""
-    name = F.col("p_name")
-    swapped = F.concat(F.substring(name, 2, 1), F.substring(name, 1, 1), F.substring(name, F.lit(3), F.length(name)))
-    longer = F.concat(swapped, F.lit(" a thing of some length"))
-    return table(spark, sf_dir, "part").select(
-        "p_partkey", choices.scored(choices.near_match, longer, F.concat(name, F.lit(" thing of some length")), "boolean").alias("near"), choices.scored(choices.numeric_match, F.concat(F.lit("so "), F.col("p_size").cast("string")), F.col("p_size").cast("string"), "boolean").alias("same"))

@@ -91,34 +91,6 @@ def size_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return P.running_buckets(docs, ["source"], "doc_id", "n_chars", 20000).select("source", "doc_id", "bucket")
 
 
-_RESPS = "SELECT user_id, list(event_type ORDER BY event_id) AS resps, list(props ORDER BY event_id) AS props FROM events WHERE event_id % 5 = 0 GROUP BY user_id"
-
-
-def _responses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = table(spark, sf_dir, "events").where("event_id % 5 = 0")
-    rows = events.groupBy("user_id").agg(F.sort_array(F.collect_list(F.struct("event_id", "event_type", "props"))).alias("r"))
-    return rows.select("user_id", F.transform("r", lambda x: x["event_type"]).alias("resps"), F.transform("r", lambda x: x["props"]).alias("props"))
-
-
-@query("filter_regex", rf"""
-SELECT user_id, list_transform(props, lambda x: CASE WHEN len(regexp_extract_all(x, '"k": ([0-9]+)', 1)) > 0 THEN trim(regexp_extract_all(x, '"k": ([0-9]+)', 1)[1]) ELSE '[invalid]' END) AS numbers FROM ({_RESPS}) r""")
-def filter_regex(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _responses(spark, sf_dir).select("user_id", R.regex('"k": ([0-9]+)')(F.col("props")).alias("numbers"))
-
-
-@query("filter_chain", f"SELECT user_id, list_transform(resps[1:2], lambda x: coalesce(CASE upper(x) WHEN 'CLICK' THEN 'A' WHEN 'VIEW' THEN 'B' END, 'Z')) AS kept FROM ({_RESPS}) r")
-def filter_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
-    steps = [("take_first_k", {"k": 2}), ("uppercase", {}), ("map", {"table": {"CLICK": "A", "VIEW": "B"}, "default": "Z"})]
-    return R.filtered(_responses(spark, sf_dir), {"chain": steps}).select("user_id", F.col("filtered_resps")["chain"].alias("kept"))
-
-
-@query("majority_vote", f"""
-WITH v AS (SELECT user_id, unnest(resps) AS x, unnest(range(1, len(resps) + 1)) AS i FROM ({_RESPS}) r), c AS (SELECT user_id, x, count(*) AS n, min(i) AS first FROM v GROUP BY 1, 2)
-SELECT user_id, x AS vote FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY n DESC, first) AS k FROM c) y WHERE k = 1""")
-def majority_vote(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _responses(spark, sf_dir).select("user_id", R.majority_vote()(F.col("resps"))[0].alias("vote"))
-
-
 _ALL_RESPS = "SELECT user_id, list(event_type ORDER BY event_id) AS resps, list(props ORDER BY event_id) AS props FROM events GROUP BY user_id"
 
 

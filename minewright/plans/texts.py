@@ -25,16 +25,6 @@ def answer_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "conversations").select("conv_id", "turn", T.normalize_answer(F.col("text")).alias("normal"))
 
 
-@query("exact_match_norm", r"""
-SELECT role, avg(CASE WHEN regexp_replace(lower(left(text, 20)), '[!"#$%&''()*+,\-./:;<=>?@\[\\\]^_`{|}~]', '', 'g') = regexp_replace(lower(substr(text, 1, 20)), '[!"#$%&''()*+,\-./:;<=>?@\[\\\]^_`{|}~]', '', 'g') THEN 1.0 ELSE 0.0 END) AS exact_match,
-  avg(CASE WHEN left(text, 1) = substr(text, 2, 1) THEN 1.0 ELSE 0.0 END) AS strict_match FROM conversations GROUP BY role""")
-def exact_match_norm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = F.col("text")
-    loose = T.exact_match(F.substring(t, 1, 20), F.substring(t, 1, 20), ignore_case=True, ignore_punctuation=True)
-    strict = T.exact_match(F.substring(t, 1, 1), F.substring(t, 2, 1))
-    return table(spark, sf_dir, "conversations").groupBy("role").agg(F.avg(loose.cast("double")).alias("exact_match"), F.avg(strict.cast("double")).alias("strict_match"))
-
-
 #: Each turn's whole text with the next turn's of its conversation.
 _NEXT = "SELECT * FROM (SELECT conv_id, turn, role, text, lead(text) OVER w AS ref, lead(true) OVER w AS has FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn, role, text)) n WHERE has"
 
@@ -91,24 +81,6 @@ def levenshtein_anls(spark: SparkSession, sf_dir: str) -> DataFrame:
 _A, _B = "list_filter(string_split_regex(trim(left(text, 200)), '\\s+'), lambda w: w <> '')", "list_filter(string_split_regex(trim(substr(text, 101, 200)), '\\s+'), lambda w: w <> '')"
 
 
-@query("token_f1", f"""
-SELECT conv_id, turn, CASE WHEN len(list_intersect(list_distinct({_A}), list_distinct({_B}))) = 0 THEN 0.0
-  ELSE 2.0 * len(list_intersect(list_distinct({_A}), list_distinct({_B}))) / (len(list_distinct({_A})) + len(list_distinct({_B}))) END AS f1 FROM conversations""")
-def token_f1(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = F.col("text")
-    return table(spark, sf_dir, "conversations").select("conv_id", "turn", T.token_set_f1(F.substring(t, 1, 200), F.substring(t, 101, 200)).alias("f1"))
-
-
-@query("jaccard", f"""
-SELECT conv_id, turn, CASE WHEN len(list_distinct(list_concat({_A}, {_B}))) = 0 THEN 1.0
-  ELSE CAST(len(list_intersect(list_distinct({_A}), list_distinct({_B}))) AS DOUBLE) / len(list_distinct(list_concat({_A}, {_B}))) END AS jaccard,
-  list_sort(list_distinct({_A})) = list_sort(list_distinct({_B})) AS same_set FROM conversations""")
-def jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = F.col("text")
-    a, b = T.words(F.substring(t, 1, 200)), T.words(F.substring(t, 101, 200))
-    return table(spark, sf_dir, "conversations").select("conv_id", "turn", S.jaccard(a, b).alias("jaccard"), S.set_equality(a, b).alias("same_set"))
-
-
 _WA, _WB = (f"list_distinct(list_filter(string_split_regex(trim({x}), '\\s+'), lambda w: w <> ''))" for x in ("text", "ref"))
 
 
@@ -139,16 +111,6 @@ def sequence_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return v.select("l_orderkey", S.sequence_equality(a, b).alias("same"), S.position_accuracy(a, b).alias("position_accuracy"), S.common_prefix_ratio(a, b).cast("double").alias("prefix_ratio"))
 
 
-@query("consensus_accuracy", """
-WITH g AS (SELECT user_id, list(event_type ORDER BY event_id) AS answers FROM events WHERE event_id % 7 = 0 GROUP BY 1),
-h AS (SELECT user_id, answers, list_transform(answers, lambda a: CASE WHEN a = 'click' THEN 1.0 ELSE 0.0 END) AS hits FROM g)
-SELECT user_id, list_sum(list_transform(hits, lambda x: least(1.0, (list_sum(hits) - x) / 3))) / len(hits) AS accuracy FROM h""")
-def consensus_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Annotators' consensus for one answer; events of a user stand for the annotators."""
-    answers = F.collect_list("event_type")
-    return table(spark, sf_dir, "events").where("event_id % 7 = 0").groupBy("user_id").agg(answers.alias("a")).select("user_id", S.consensus(F.lit("click"), F.col("a")).alias("accuracy"))
-
-
 @query("consensus_accuracy_all", """
 WITH g AS (SELECT user_id, list(event_type ORDER BY event_id) AS answers FROM events GROUP BY 1),
 h AS (SELECT user_id, answers, list_transform(answers, lambda a: CASE WHEN a = 'click' THEN 1.0 ELSE 0.0 END) AS hits FROM g)
