@@ -63,3 +63,20 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     roots = work.select(F.col("v").alias("node")).distinct().select("node", F.col("node").alias("component"))
     alone = loops.join(work.select(F.col("u").alias("node")).union(work.select(F.col("v").alias("node"))).distinct(), "node", "left_anti").distinct().select("node", F.col("node").alias("component"))
     return stars.union(roots).union(alone)
+
+
+def with_least(rows: DataFrame, component: str, value: str, hot_rows: int = HOT) -> DataFrame:
+    """``rows``, a staged table, with ``least``: the smallest value in the row's component; null for rows without one.
+
+    Components of over ``hot_rows`` rows and a ten-thousandth of all, which are ten thousand at most, are met by broadcast,
+    so that no task gets all rows of one.
+    """
+    least = rows.where(F.col(component).isNotNull()).groupBy(component).agg(F.min(value).alias("least"), F.count(F.lit(1)).alias("_n"))
+    bound = max(hot_rows, rows.count() // SHARE)
+    found = least.where(F.col("_n") > bound).select(component, "least")
+    hot = found.collect()
+    if not hot:
+        return rows.join(least.drop("_n"), component, "left")
+    hubs = F.broadcast(rows.sparkSession.createDataFrame(hot, found.schema))
+    rest = rows.join(hubs.select(component), component, "left_anti").join(least.drop("_n"), component, "left")
+    return rows.join(hubs, component).unionByName(rest)

@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from minewright.llm.anchors import mix
-from minewright.llm.components import connected_components
+from minewright.llm.components import connected_components, with_least
 from minewright.staging import shuffle_width, stage
 
 #: Fixed values of the contract: words of a shingle, and the threshold as a fraction.
@@ -413,9 +413,8 @@ def ngram_components(documents: DataFrame, block_entries: int = 2_000_000) -> Da
     )
     rows = stage(shared.groupBy("part").applyInArrow(_rows, "node long, n long, lead array<long>, shared binary"), "ngram-rows")
     comps = connected_components(stage(link_rows(rows), "ngram-links"))
-    grouped = docs.select("doc_id", "n", "node").join(comps, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    least = grouped.where("component IS NOT NULL").groupBy("component").agg(F.min("doc_id").alias("least"))
-    return grouped.join(least, "component", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("least", "doc_id").alias("component_id"))
+    grouped = stage(docs.select("doc_id", "n", "node").join(comps, "node", "left").select("doc_id", "n", F.coalesce("component", "node").alias("component")), "ngram-grouped")
+    return with_least(grouped, "component", "doc_id").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("least", "doc_id").alias("component_id"))
 
 
 OP10_SQL = r"""

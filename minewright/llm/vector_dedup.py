@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from minewright.llm.components import connected_components
+from minewright.llm.components import connected_components, with_least
 from minewright.llm.topk import usable
 from minewright.staging import shuffle_width, stage
 
@@ -165,10 +165,10 @@ def vector_links(vectors: DataFrame, cosine: float = 0.95, miss: float = 0.005,
     found = stage(dealt.join(full, "cls").groupBy("t", "code", "i", "j").applyInPandas(_compare(cosine), "cls long, links long, root long"), "vector-links")
     linked = found.groupBy("cls").agg(F.sum("links").alias("links"))
     comps = connected_components(found.select(F.col("cls").alias("u"), F.col("root").alias("v")))
-    named = comps.join(classes.select(F.col("cls").alias("node"), "least"), "node").select("node", "component", "least")
-    least = named.groupBy("component").agg(F.min("least").alias("component_id"))
+    named = stage(comps.join(classes.select(F.col("cls").alias("node"), F.col("least").alias("own")), "node").select(F.col("node").alias("cls"), "component", "own"), "vector-named")
+    least = with_least(named, "component", "own").select("cls", F.col("least").alias("component_id"))
     per_class = (
-        classes.join(linked, "cls", "left").join(named.select(F.col("node").alias("cls"), "component"), "cls", "left").join(least, "component", "left")
+        classes.join(linked, "cls", "left").join(least, "cls", "left")
         .select("v", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.coalesce("component_id", "least").alias("component_id"))
     )
     return (

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from minewright.llm import topk
-from minewright.llm.components import connected_components
+from minewright.llm.components import connected_components, with_least
 from minewright.llm.topk import topk_search
 from minewright.llm.url_rules import OP5_RULES, judge_urls, make_rules
 from minewright.llm.vector_dedup import plan_tables, same_cell, vector_links
@@ -117,6 +117,14 @@ def test_vector_links_equal_brute_force(spark, options):
     assert got == links(rows, 0.95)
 
 
+def test_least_of_components_with_hot_ones(spark):
+    rows = [(i, 7 if i % 2 else i % 5 if i % 3 else None) for i in range(200)] + [(None, 7), (None, 99)]
+    frame = spark.createDataFrame(rows, "id long, c long")
+    want = Counter((i, min((j for j, d in rows if d == c and j is not None), default=None) if c is not None else None) for i, c in rows)
+    for hot in (1000, 20, 1):
+        assert Counter((r.id, r.least) for r in with_least(frame, "c", "id", hot).collect()) == want
+
+
 def test_vectors_of_an_empty_table(spark):
     empty = frame(spark, []).limit(0)
     assert vector_links(empty).count() == 0 and topk_search(empty, empty).count() == 0
