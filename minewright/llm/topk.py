@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from minewright.staging import drop_staged, stage
+from minewright.staging import drop_staged, small_batches, stage
 
 
 def usable(vector: Column) -> Column:
@@ -209,6 +209,7 @@ def topk_search(
 
     Both frames have ``id long, v array<double>`` with integer-valued components.
     """
+    small_batches(vectors.sparkSession)  # a row is a block
     vectors, queries = (x.where(F.col("id").isNotNull() & usable(F.col("v"))) for x in (vectors, queries))
     n_c, width = vectors.agg(F.count(F.lit(1)), F.coalesce(F.max(F.size("v")), F.lit(1))).first()
     n_q = queries.count()
