@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from minewright.llm import language_id, ngram_join, packing, pieces, suffix_dedup, token_counts, topk, toxicity, url_rules, vector_dedup
+from minewright.llm import collocations, language_id, ngram_join, packing, pieces, suffix_dedup, token_counts, topk, toxicity, url_rules, vector_dedup
 
 QUERIES = {
     "op1_best_fit_packing": packing.op1_best_fit_packing,
@@ -15,10 +15,12 @@ QUERIES = {
     "op8_toxicity": toxicity.op8_toxicity,
     "op9_language_id": language_id.op9_language_id,
     "op10_ngram_join": ngram_join.op10_ngram_join,
+    "op11_phrase_collocations": collocations.op11_phrase_collocations,
 }
 ORACLES = {
     "op2_topk_search": topk.OP2_SQL,
     "op4_vector_dedup": vector_dedup.OP4_SQL,
     "op5_url_filters": url_rules.OP5_SQL,
     "op10_ngram_join": ngram_join.OP10_SQL,
+    "op11_phrase_collocations": collocations.OP11_SQL,
 }
