@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from minewright.llm import collocations, hard_negatives, language_id, ngram_join, packing, pieces, suffix_dedup, token_counts, topk, toxicity, url_rules, vector_dedup
+from minewright.llm import collocations, hard_negatives, language_id, ngram_join, packing, pieces, suffix_dedup, token_counts, topk, toxicity, url_rules, vector_dedup, warc
 
 QUERIES = {
     "op1_best_fit_packing": packing.op1_best_fit_packing,
@@ -17,6 +17,7 @@ QUERIES = {
     "op10_ngram_join": ngram_join.op10_ngram_join,
     "op11_phrase_collocations": collocations.op11_phrase_collocations,
     "op12_hard_negatives": hard_negatives.op12_hard_negatives,
+    "op13_warc": warc.op13_warc,
 }
 ORACLES = {
     "op2_topk_search": topk.OP2_SQL,
@@ -25,4 +26,5 @@ ORACLES = {
     "op10_ngram_join": ngram_join.OP10_SQL,
     "op11_phrase_collocations": collocations.OP11_SQL,
     "op12_hard_negatives": hard_negatives.OP12_SQL,
+    "op13_warc": warc.OP13_SQL,
 }
