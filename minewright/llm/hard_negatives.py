@@ -210,8 +210,10 @@ def _windows(k: int, low: int, high: int):
                 tile = _received(r["tile"], n, m)
                 other = f["a_labels"][:, None] != f["labels"][None, :]
                 ranks = defaultdict(list)
+                here = set(f["places"].tolist())  # anchors of another length can share the block's number
                 for p in r["positives"]:
-                    ranks[p["p_rank"]].append(p)
+                    if p["place"] in here:
+                        ranks[p["p_rank"]].append(p)
                 for rank, ps in sorted(ranks.items()):
                     at = np.searchsorted(f["places"], [p["place"] for p in ps])  # places rise within a block of anchors
                     least = np.array([-(-low * p["score"] // 100) for p in ps], np.int64)[:, None]
