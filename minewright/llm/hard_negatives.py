@@ -10,8 +10,8 @@
    positives.  These go back to the tiles, where each anchor and positive has a window
    of scores, and each tile gives its first rows in that window; these are merged again.
 
-Anchors are taken in rounds of ``round_scores`` scores, which bounds the disk of tiles;
-every anchor has its round and every row is met.
+Anchors are taken in rounds of ``round_scores`` scores (eight million for each core, unless
+given), which bounds the disk of tiles; every anchor has its round and every row is met.
 
 Defined cases: rows with a null id, label or vector, an empty vector, or null or
 non-finite components take no part; vectors of another length than the anchor's are
@@ -231,7 +231,7 @@ def _windows(k: int, low: int, high: int):
 
 def hard_negatives(
     vectors: DataFrame, every: int = 50, positives: int = 5, negatives: int = 3, low: int = 50, high: int = 95,
-    row_block: int = 4096, anchor_block: int = 256, dim_chunk: int = 32, round_scores: int = 1 << 27, round_bytes: int = 32 << 20,
+    row_block: int = 4096, anchor_block: int = 256, dim_chunk: int = 32, round_scores: int | None = None, round_bytes: int = 32 << 20,
 ) -> DataFrame:
     """``anchor_id, positive_id, rank, negative_id, positive_score, negative_score`` of ``vectors``: ``id long, label long, v array<double>``, integer-valued.
 
@@ -246,6 +246,7 @@ def hard_negatives(
     n_anchors = single.where("chunk = 0").count()
     n_blocks = max(1, -(-n_anchors // anchor_block))
     anchors = stage(single.groupBy(F.pmod(F.xxhash64("place"), F.lit(n_blocks)).alias("a_block"), "dim", "chunk").applyInArrow(_gather, _ANCHORS), "negatives-anchors")
+    round_scores = round_scores or spark.sparkContext.defaultParallelism << 23
     wide = max(1, min(round_scores // max(1, int(size[0])), round_bytes // (8 * (int(size[1]) + 3))))  # anchors of a round
     per_round = max(1, wide // anchor_block)
     found = []
