@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import difflib
 import json
+import operator
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column
@@ -36,14 +38,29 @@ def _post(t: Tree, labels: list[str], first: list[int]) -> int:
     return first[-1]
 
 
-def tree_distance(a: Tree, b: Tree) -> int:
-    """Least number of inserted, deleted and renamed nodes between two ordered trees."""
+def tree_distance(a: Tree, b: Tree, rename: Callable[[object, object], float] = operator.ne) -> float:
+    """Least cost of inserted, deleted and renamed nodes between two ordered trees; the first two cost 1 each."""
+    if a == b:
+        return 0
     la, fa, lb, fb = [], [], [], []
     _post(a, la, fa), _post(b, lb, fb)
     roots = lambda first: sorted({f: i for i, f in enumerate(first)}.values())
+    number: dict[object, int] = {}
+    ia, ib = ([number.setdefault(x, len(number)) for x in labels] for labels in (la, lb))
+    known: dict[tuple[int, int], float] = {}
+
+    def cost(p: int, q: int) -> float:
+        pair = ia[p], ib[q]
+        if pair not in known:
+            known[pair] = rename(la[p], lb[q])
+        return known[pair]
+
     tree = [[0] * len(lb) for _ in la]
     for i in roots(fa):
         for j in roots(fb):
+            if fa[i] == i and fb[j] == j:  # two leaves
+                tree[i][j] = min(2, cost(i, j))
+                continue
             m, n = i - fa[i] + 2, j - fb[j] + 2
             d = [[0] * n for _ in range(m)]
             for x in range(1, m):
@@ -55,7 +72,7 @@ def tree_distance(a: Tree, b: Tree) -> int:
                     p, q = fa[i] + x - 1, fb[j] + y - 1
                     least = min(d[x - 1][y], d[x][y - 1]) + 1
                     if fa[p] == fa[i] and fb[q] == fb[j]:
-                        d[x][y] = tree[p][q] = min(least, d[x - 1][y - 1] + (la[p] != lb[q]))
+                        d[x][y] = tree[p][q] = min(least, d[x - 1][y - 1] + cost(p, q))
                     else:
                         d[x][y] = min(least, d[fa[p] - fa[i]][fb[q] - fb[j]] + tree[p][q])
     return tree[-1][-1]
