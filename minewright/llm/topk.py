@@ -21,10 +21,12 @@ blocks that phase 3 looks up.
 
 Defined cases: vectors that are null, empty, or hold null or non-finite
 components take no part, on either side; vectors of another length than the
-query's are no candidates; a null id takes no part; equal rows count once; all
-rows of a repeated vec_id take part, and as queries share one list, but are no
-candidates of their own id; ties go to the smaller vec_id; a score beyond 64
-bits raises an error instead of wrapping.
+query's are no candidates; a null id takes no part; every row counts, however
+often it is there.  Queries named by a condition are rows of the table itself:
+each has a list of its own, and its candidates are all rows but itself, those of
+its id and its copies too.  Queries from another table share a list by their id,
+and rows of that id are no candidates.  Ties go to the smaller vec_id; a score
+beyond 64 bits raises an error instead of wrapping.
 """
 
 from __future__ import annotations
@@ -45,27 +47,27 @@ def usable(vector: Column) -> Column:
 
 
 def pack_blocks(vectors: DataFrame, per_block: int, lists: int, n_rows: int) -> DataFrame:
-    """``block, dim, list, ids binary, data binary`` of ``id, v`` rows: each list's components of about ``per_block`` vectors of one length.
+    """``block, dim, list, ids binary, rows binary, data binary`` of ``id, row, v``: each list's components of about ``per_block`` vectors of one length.
 
-    Equal rows count once; rows of one id with other vectors all stay.
+    ``row`` is what tells a query from its candidates; without it the id does.
     """
     n_blocks = max(1, -(-n_rows // per_block))
-    keyed = vectors.select("id", "v").distinct().withColumn("block", F.pmod(F.xxhash64("id"), F.lit(n_blocks)))
+    keyed = vectors.select("id", (F.col("row") if "row" in vectors.columns else F.col("id")).alias("row"), "v").withColumn("block", F.pmod(F.xxhash64("id", "row"), F.lit(n_blocks)))
 
     def pack(key: tuple[pa.Scalar, ...], t: pa.Table) -> pa.Table:
         block, dim = key[0].as_py(), key[1].as_py()
         order = np.argsort(t["id"].to_numpy(), kind="stable")
         flat = t["v"].combine_chunks()
         x = flat.values.to_numpy(zero_copy_only=False)[flat.offsets[0].as_py() :].reshape(len(order), dim)[order].astype("<f8")
-        ids = t["id"].to_numpy()[order].astype("<i8").tobytes()
+        ids, rows = (t[name].to_numpy()[order].astype("<i8").tobytes() for name in ("id", "row"))
         parts = [g for g in np.array_split(np.arange(dim), lists) if len(g)]
         n = len(parts)
         return pa.table({
             "block": pa.array([block] * n, pa.int64()), "dim": pa.array([dim] * n, pa.int64()), "list": pa.array(range(n), pa.int32()), "lists": pa.array([n] * n, pa.int32()),
-            "ids": pa.array([ids] * n, pa.binary()), "data": pa.array([np.ascontiguousarray(x[:, g]).tobytes() for g in parts], pa.binary()),
+            "ids": pa.array([ids] * n, pa.binary()), "rows": pa.array([rows] * n, pa.binary()), "data": pa.array([np.ascontiguousarray(x[:, g]).tobytes() for g in parts], pa.binary()),
         })
 
-    return keyed.withColumn("dim", F.size("v").cast("long")).groupBy("block", "dim").applyInArrow(pack, "block long, dim long, list int, lists int, ids binary, data binary")
+    return keyed.withColumn("dim", F.size("v").cast("long")).groupBy("block", "dim").applyInArrow(pack, "block long, dim long, list int, lists int, ids binary, rows binary, data binary")
 
 
 def _local(q: np.ndarray, c: np.ndarray) -> np.ndarray:
@@ -86,15 +88,15 @@ _ENTRY_DDL = "q long, c long, query_id long, vec_id long, list int, lists int, l
 
 
 def _meetings(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[tuple]:
-    """A list's local scores of some queries and a block of candidates, a query's own id out of the way."""
+    """A list's local scores of some queries and a block of candidates, a query's own row out of the way."""
     for batch in batches:
         for i in range(batch.num_rows):
             r = {n: batch.column(n)[i] for n in batch.schema.names}
-            r = {n: np.frombuffer(x.as_buffer(), "<i8" if n in ("ids", "q_ids", "cutoffs") else "<f8") if isinstance(x, pa.BinaryScalar) and x.is_valid else x.as_py() for n, x in r.items()}
+            r = {n: np.frombuffer(x.as_buffer(), "<i8" if n in ("ids", "q_ids", "rows", "q_rows", "cutoffs") else "<f8") if isinstance(x, pa.BinaryScalar) and x.is_valid else x.as_py() for n, x in r.items()}
             qi, ci = r["q_ids"], r["ids"]
             q, c = r["q_data"].reshape(len(qi), -1), r["data"].reshape(len(ci), -1)
             for a in range(0, len(qi), rows):
-                own = qi[a : a + rows, None] == ci[None, :]
+                own = r["q_rows"][a : a + rows, None] == r["rows"][None, :]
                 yield r, a, own, _local(q[a : a + rows], c)
 
 
@@ -190,10 +192,10 @@ def _carry(queries: DataFrame, known: DataFrame) -> DataFrame:
                 for x in r["known"] or []:
                     own[x["q"] & (2**_BLOCK_BITS - 1)] = x["cutoff"]
                 out.append(own.tobytes())
-            names = ["dim", "list", "q_block", "q_ids", "q_data"]
+            names = ["dim", "list", "q_block", "q_ids", "q_rows", "q_data"]
             yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.array(out, pa.binary())], names=[*names, "cutoffs"])
 
-    return queries.join(spelled, "q_block", "left").mapInArrow(carry, "dim long, list int, q_block long, q_ids binary, q_data binary, cutoffs binary")
+    return queries.join(spelled, "q_block", "left").mapInArrow(carry, "dim long, list int, q_block long, q_ids binary, q_rows binary, q_data binary, cutoffs binary")
 
 
 def collect_entries(candidates: DataFrame, queries: DataFrame, known: DataFrame) -> DataFrame:
@@ -202,20 +204,28 @@ def collect_entries(candidates: DataFrame, queries: DataFrame, known: DataFrame)
 
 
 def topk_search(
-    vectors: DataFrame, queries: DataFrame, k: int = 5, lists: int = 2,
+    vectors: DataFrame, queries: DataFrame | Column, k: int = 5, lists: int = 2,
     query_block: int = 2048, candidate_block: int = 4096, group_bytes: int = 32 << 20, depth: int = 16,
 ) -> DataFrame:
     """``query_id, rank, vec_id, score``: each query's k greatest inner products among ``vectors`` but itself.
 
-    Both frames have ``id long, v array<double>`` with integer-valued components.
+    Frames have ``id long, v array<double>`` with integer-valued components; a column chooses queries among ``vectors``.
     """
     small_batches(vectors.sparkSession)  # a row is a block
-    vectors, queries = (x.where(F.col("id").isNotNull() & usable(F.col("v"))) for x in (vectors, queries))
+    live = F.col("id").isNotNull() & usable(F.col("v"))
+    vectors, numbered, key = vectors.where(live), None, "query_id"
+    if isinstance(queries, Column):
+        # Written once, so that a row's number is the same on both sides.
+        numbered, key = stage(vectors.select("id", "v", queries.alias("asked")).withColumn("row", F.monotonically_increasing_id()), "topk-rows"), "q"
+        vectors, queries = numbered.select("id", "v", "row"), numbered.where("asked").select("id", "v", "row")
+    queries = queries.where(live)
     n_c, width = vectors.agg(F.count(F.lit(1)), F.coalesce(F.max(F.size("v")), F.lit(1))).first()
     n_q = queries.count()
     fits = lambda rows: max(1, min(rows, group_bytes // (8 * width)))
     c = stage(pack_blocks(vectors, fits(candidate_block), lists, n_c), "topk-candidates")
-    q = stage(pack_blocks(queries, fits(query_block), lists, n_q).select("dim", "list", F.col("block").alias("q_block"), F.col("ids").alias("q_ids"), F.col("data").alias("q_data")), "topk-queries")
+    q = stage(pack_blocks(queries, fits(query_block), lists, n_q).select("dim", "list", F.col("block").alias("q_block"), F.col("ids").alias("q_ids"), F.col("rows").alias("q_rows"), F.col("data").alias("q_data")), "topk-queries")
+    if numbered is not None:
+        drop_staged(numbered)
     per_group = max(1, group_bytes // (max(8 * width, 16 * k * depth * lists) * fits(query_block)))
     found = []
     for group in range(-(-max(1, -(-n_q // fits(query_block))) // per_group)):
@@ -229,32 +239,32 @@ def topk_search(
         rest = _resolve(asked, c, own, bounded=False).select("q", "c", "query_id", "vec_id", "local")
         whole = rest.union(open_.select("q", "c", "query_id", "vec_id", F.col("sum").alias("local"))).groupBy("q", "c", "query_id", "vec_id").agg(F.sum("local").alias("score"))
         scores = done.union(whole.select("q", "query_id", "vec_id", "score")).join(known, "q", "left").where("cutoff IS NULL OR score >= cutoff")
-        by_score = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+        by_score = Window.partitionBy(key).orderBy(F.desc("score"), "vec_id")
         ranked = scores.withColumn("rank", F.row_number().over(by_score)).where(F.col("rank") <= k)
-        found.append(stage(ranked.select("query_id", "vec_id", "score"), "topk-found"))
+        found.append(stage(ranked.select("q", "query_id", "vec_id", "score"), "topk-found"))
         drop_staged(entries, known)
     drop_staged(c, q)
     both = found[0]
     for more in found[1:]:
         both = both.union(more)
     # Rows of one query id can lie in different groups.
-    by_score = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    by_score = Window.partitionBy(key).orderBy(F.desc("score"), "vec_id")
     return both.withColumn("rank", F.row_number().over(by_score)).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
 
 OP2_SQL = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e FROM embeddings
+  SELECT row_number() OVER () AS row, vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 s AS (
-  SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
-  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id),
-r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+  SELECT q.row AS own, q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.row <> c.row),
+r AS (SELECT *, row_number() OVER (PARTITION BY own ORDER BY score DESC, vec_id) AS rank FROM s)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5"""
 
 
 def op2_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding").where(usable(F.col("embedding")))
     v = rows.select(F.col("vec_id").alias("id"), F.transform("embedding", lambda x: F.floor(256 * x.cast("double")).cast("double")).alias("v"))
-    return topk_search(v, v.where("id % 50 = 0"), k=5)
+    return topk_search(v, F.col("id") % 50 == 0, k=5)

@@ -29,11 +29,11 @@ BAD = [(900, None), (901, []), (902, [1.0, None, 2.0, 3.0, 1.0]), (903, [float("
 def test_topk_equals_brute_force(spark, blocks):
     rng = np.random.default_rng(0)
     rows = [(i, rng.integers(-9, 10, 5).astype(float).tolist()) for i in range(120)] + [(200, [1.0] * 5), (201, [1.0] * 5), (202, [0.0] * 3)]
-    got = Counter((r.query_id, r["rank"], r.vec_id, r.score) for r in topk_search(frame(spark, rows + BAD + rows[:3]), frame(spark, [r for r in rows + BAD if r[0] is not None and r[0] % 10 == 0]), k=4, query_block=blocks[0], candidate_block=blocks[1]).collect())
+    got = Counter((r.query_id, r["rank"], r.vec_id, r.score) for r in topk_search(frame(spark, rows + BAD + rows[5:8]), frame(spark, [r for r in rows + BAD if r[0] is not None and r[0] % 10 == 0]), k=4, query_block=blocks[0], candidate_block=blocks[1]).collect())
     want = Counter()
     for q, x in rows:
         if q % 10 == 0:
-            best = sorted((-int(np.dot(x, y)), c) for c, y in rows if c != q and len(y) == len(x))[:4]
+            best = sorted((-int(np.dot(x, y)), c) for c, y in rows + rows[5:8] if c != q and len(y) == len(x))[:4]
             want.update((q, k + 1, c, -s) for k, (s, c) in enumerate(best))
     assert got == want
 
@@ -48,11 +48,28 @@ def test_topk_keeps_other_vectors_of_a_repeated_id(spark, blocks):
         assert sorted((-r.score, r.vec_id) for r in got if r.query_id == q) == best
 
 
+@pytest.mark.parametrize("options", [{}, {"query_block": 3, "candidate_block": 7, "group_bytes": 500}])
+def test_topk_of_rows_among_themselves_keeps_every_row(spark, options):
+    """Against the registered SQL, with repeated rows, repeated ids of other vectors, and rows that take no part."""
+    import duckdb
+
+    rng = np.random.default_rng(7)
+    rows = [(i % 70, (rng.integers(-9, 10, 6) / 256).tolist()) for i in range(110)]
+    rows += [rows[0], rows[0], rows[50], rows[3], (1, [0.25] * 6), (1, [0.25] * 6), (900, None), (901, [float("nan")] * 6), (None, [0.5] * 6)]
+    got = topk_search(frame(spark, [(i, None if v is None else [float(np.floor(256 * x)) if x == x else x for x in v]) for i, v in rows]), F.col("id") % 50 == 0, k=5, **options)
+    con = duckdb.connect()
+    con.execute("CREATE TABLE embeddings (vec_id BIGINT, embedding DOUBLE[])")
+    con.executemany("INSERT INTO embeddings VALUES (?, ?)", rows)
+    want = Counter(con.execute(topk.OP2_SQL).fetchall())
+    assert Counter(tuple(r) for r in got.collect()) == want and want[(0, 1, *next((v, s) for q, n, v, s in want if (q, n) == (0, 1)))] >= 1
+    assert sum(n for (q, _, _, _), n in want.items() if q == 0) == 5 * 4
+
+
 def test_entries_under_the_threshold_stay_in_their_lists(spark):
     rng = np.random.default_rng(8)
     rows = [(i, rng.integers(-50, 51, 16).astype(float).tolist()) for i in range(600)]
     c = topk.pack_blocks(frame(spark, rows), 100, 2, len(rows))
-    q = topk.pack_blocks(frame(spark, rows[:20]), 8, 2, 20).select("dim", "list", F.col("block").alias("q_block"), F.col("ids").alias("q_ids"), F.col("data").alias("q_data"))
+    q = topk.pack_blocks(frame(spark, rows[:20]), 8, 2, 20).select("dim", "list", F.col("block").alias("q_block"), F.col("ids").alias("q_ids"), F.col("rows").alias("q_rows"), F.col("data").alias("q_data"))
     c, q = stage(c, "test-c"), stage(q, "test-q")
     known = stage(topk.cutoffs(c, q, 5), "test-cutoffs")
     least = {r.q: r.cutoff for r in known.collect()}
