@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -151,16 +152,26 @@ def typed_answer(reply: Column, choices: Column, kind: Column, precision: Column
     at = F.array_position(F.transform(choices, lambda c, i: F.char(65 + i)), named)
     nearest = F.array_min(F.transform(choices, lambda c, i: F.struct(F.levenshtein(named, c).alias("d"), i.alias("i"), c.alias("c"))))["c"]
     choice = F.when(at > 0, F.try_element_at(choices, at.cast("int"))).otherwise(nearest)
-    number = bare.try_cast("double")
-    scale = F.pow(F.lit(10.0), precision)
-    whole = F.when(number < 0, F.ceil(number)).otherwise(F.floor(number)).cast("string")
-    return F.when(kind == "choice", choice).when(kind == "integer", whole).when(kind == "float", (F.rint(number * scale) / scale).cast("string")).otherwise(reply)
+    number = F.pandas_udf(_typed_number, "string")(kind, bare, precision)
+    return F.when(kind == "choice", choice).when(kind.isin("integer", "float"), number).otherwise(reply)
+
+
+def _typed_number(kind: pd.Series, text: pd.Series, precision: pd.Series) -> pd.Series:
+    """Numbers as they are written out: whole ones of any length towards zero, others rounded by their exact value, ties to even; null for what is none."""
+
+    def one(k: str | None, t: str | None, p: int | None) -> str | None:
+        try:
+            return str(int(float(t))) if k == "integer" else str(round(float(t), int(p))) if k == "float" else None
+        except (TypeError, ValueError, OverflowError):
+            return None
+
+    return pd.Series([one(*x) for x in zip(kind, text, precision, strict=True)], dtype=object)
 
 
 def latex_plain(s: Column) -> Column:
     r"""A LaTeX answer in a plain form: ``\frac`` forms as one, no ``\left``, ``\right``, spaces, degrees, percents, text marks or leading ``x=``; a bare ``.5`` gets its zero."""
     for pattern, new in (
-        (r"\\!|\\,|\;|\\ |\s+", ""), (r"\\(t|d)frac", r"\\frac"), (r"\\left|\\right", ""), (r"\^\{?\\circ\}?", ""), (r"\\\$|\$|\\%|%", ""),
+        (r"\\!|\\,|\\;|\\ |\s+", ""), (r"\\(t|d)frac", r"\\frac"), (r"\\left|\\right", ""), (r"\^\{?\\circ\}?", ""), (r"\\\$|\$|\\%|%", ""),
         (r"\\(?:text|mathrm|mathbf|textbf)\{([^{}]*)\}", "$1"), (r"\\frac([0-9])([0-9])", r"\\frac{$1}{$2}"), (r"\\sqrt([0-9])", r"\\sqrt{$1}"), (r"^[a-zA-Z]=", ""),
         (r"(^|[^0-9])\.([0-9])", "$10.$2"), (r"^(-?[0-9]+)/([0-9]+)$", r"\\frac{$1}{$2}"), (r"(\.[0-9]*?)0+$", "$1"), (r"\.$", ""),
     ):

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import bisect
 import difflib
 import json
+import math
 import operator
 from collections.abc import Callable
 
@@ -39,12 +41,15 @@ def _post(t: Tree, labels: list[str], first: list[int]) -> int:
 
 
 def tree_distance(a: Tree, b: Tree, rename: Callable[[object, object], float] = operator.ne) -> float:
-    """Least cost of inserted, deleted and renamed nodes between two ordered trees; the first two cost 1 each."""
+    """Least cost of inserted, deleted and renamed nodes between two ordered trees; the first two cost 1 each.
+
+    Nodes whose places in postorder differ by more than the distance are never paired, so pairs within a strip are enough
+    where the result is no wider than that; the strip is widened until it is.  Like trees cost their size and not its square.
+    """
     if a == b:
         return 0
     la, fa, lb, fb = [], [], [], []
     _post(a, la, fa), _post(b, lb, fb)
-    roots = lambda first: sorted({f: i for i, f in enumerate(first)}.values())
     number: dict[object, int] = {}
     ia, ib = ([number.setdefault(x, len(number)) for x in labels] for labels in (la, lb))
     known: dict[tuple[int, int], float] = {}
@@ -55,27 +60,44 @@ def tree_distance(a: Tree, b: Tree, rename: Callable[[object, object], float] =
             known[pair] = rename(la[p], lb[q])
         return known[pair]
 
-    tree = [[0] * len(lb) for _ in la]
-    for i in roots(fa):
-        for j in roots(fb):
-            if fa[i] == i and fb[j] == j:  # two leaves
-                tree[i][j] = min(2, cost(i, j))
+    roots_a, roots_b = (sorted({f: i for i, f in enumerate(first)}.values()) for first in (fa, fb))
+    width = max(4, abs(len(la) - len(lb)))
+    while True:
+        found = _strip_distance(fa, fb, roots_a, roots_b, cost, width)
+        if found <= width or width >= len(la) + len(lb):
+            return found
+        width *= 2
+
+
+def _strip_distance(fa: list[int], fb: list[int], roots_a: list[int], roots_b: list[int], cost: Callable[[int, int], float], k: int) -> float:
+    """The distance if it is ``k`` or less, else some number above; of pairs of places in postorder no more than ``k`` apart."""
+    none: dict[int, float] = {}
+    tree: dict[tuple[int, int], float] = {}
+    for i in roots_a:
+        for j in roots_b[bisect.bisect_left(roots_b, fa[i] - k) :]:
+            left, top = fb[j] - 1, fa[i] - 1
+            if left + 1 > i + k:
+                continue
+            if left + 1 == j and top + 1 == i:  # two leaves
+                if abs(i - j) <= k:
+                    tree[i, j] = min(2, cost(i, j))
                 continue
-            m, n = i - fa[i] + 2, j - fb[j] + 2
-            d = [[0] * n for _ in range(m)]
-            for x in range(1, m):
-                d[x][0] = d[x - 1][0] + 1
-            for y in range(1, n):
-                d[0][y] = d[0][y - 1] + 1
-            for x in range(1, m):
-                for y in range(1, n):
-                    p, q = fa[i] + x - 1, fb[j] + y - 1
-                    least = min(d[x - 1][y], d[x][y - 1]) + 1
-                    if fa[p] == fa[i] and fb[q] == fb[j]:
-                        d[x][y] = tree[p][q] = min(least, d[x - 1][y - 1] + cost(p, q))
+            rows: dict[int, dict[int, float]] = {}
+            for p in range(max(top, left - k), min(i, j + k) + 1):
+                above, row = rows.get(p - 1, none), {}
+                for q in range(max(left, p - k), min(j, p + k) + 1):
+                    if p == top:
+                        row[q] = q - left
+                    elif q == left:
+                        row[q] = p - top
                     else:
-                        d[x][y] = min(least, d[fa[p] - fa[i]][fb[q] - fb[j]] + tree[p][q])
-    return tree[-1][-1]
+                        least = min(above.get(q, math.inf), row.get(q - 1, math.inf)) + 1
+                        if fa[p] == top + 1 and fb[q] == left + 1:
+                            row[q] = tree[p, q] = min(least, above.get(q - 1, math.inf) + cost(p, q))
+                        else:
+                            row[q] = min(least, rows.get(fa[p] - 1, none).get(fb[q] - 1, math.inf) + tree.get((p, q), math.inf))
+                rows[p] = row
+    return tree.get((len(fa) - 1, len(fb) - 1), math.inf)
 
 
 def record_similarity(pred: str | None, gold: str | None) -> float | None:

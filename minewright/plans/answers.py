@@ -64,7 +64,7 @@ SELECT p_partkey, CASE kind
   WHEN 'choice' THEN CASE WHEN named IN ('A', 'B', 'C') THEN choices[ascii(named) - 64]
     ELSE list_sort([{{'d': levenshtein(named, choices[1]), 'i': 1, 'c': choices[1]}}, {{'d': levenshtein(named, choices[2]), 'i': 2, 'c': choices[2]}}, {{'d': levenshtein(named, choices[3]), 'i': 3, 'c': choices[3]}}])[1].c END
   WHEN 'integer' THEN CAST(CAST(trunc(TRY_CAST(trim(reply) AS DOUBLE)) AS BIGINT) AS VARCHAR)
-  ELSE CAST(round_even(TRY_CAST(trim(reply) AS DOUBLE), 1) AS VARCHAR) END AS answer
+  ELSE printf('%.1f', TRY_CAST(trim(reply) AS DOUBLE)) END AS answer
 FROM n""")
 def typed_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Replies that name a choice by letter or by a misspelt text, a whole number, or a rounded one."""

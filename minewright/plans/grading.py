@@ -7,10 +7,14 @@ from pyspark.sql import functions as F
 
 from minewright.functions import edits as E
 from minewright.functions import expressions as X
+from minewright.functions import spoken as W
 from minewright.functions import tables as T
+from minewright.operators import constraints as CO
 from minewright.operators import instructions as I
 from minewright.operators import joins as J
+from minewright.operators import retrieval as R
 from minewright.operators import spotting as SP
+from minewright.operators import statistics as ST
 from minewright.operators import structured as S
 from minewright.plans.catalog import query
 from minewright.staging import shuffle_width, table
@@ -199,3 +203,67 @@ def expression_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     interval = X.equal_answers(text("\\left(-", q, ", \\frac{", n * 3, "}{3}\\right]"), text("(", -q, ",", n, F.when(k % 2 == 0, "]").otherwise(")")))
     near = X.number_scores(text("about \\approx ", size + size * (k % 3) / 100, " kg"), text(size)) == 1
     return table(spark, sf_dir, "documents").select("doc_id", fraction.alias("fraction"), equation.alias("equation"), interval.alias("interval"), near.alias("near"))
+
+
+def _spoken(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents' numbers said in words: a year, a sum of money and a percentage, in every fifth with a word too many."""
+    word = lambda of, i: F.element_at(F.array(*[F.lit(w) for w in of]), (i + 1).cast("int"))
+    tens, unit = word(W.TENS, F.col("doc_id") % 8), word(W.UNITS[1:], F.col("n_chars") % 9)
+    said = F.concat(
+        F.lit("[noise] It's, um, Mr X (laughs): nineteen "), tens, F.lit("-"), unit, F.lit(". They WON'T pay "), unit, F.lit(" hundred and "), tens, F.lit(" dollars or "), tens, F.lit(" "), unit, F.lit(" percent!"),
+        F.when(F.col("doc_id") % 5 == 0, " Really.").otherwise(""))
+    return table(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars", said.alias("said"))
+
+
+_WRITTEN = "'it is mister x 19' || (doc_id % 8 + 2) || (n_chars % 9 + 1) || ' they will not pay $' || (n_chars % 9 + 1) || (doc_id % 8 + 2) || '0 or ' || (doc_id % 8 + 2) || (n_chars % 9 + 1) || '%'"
+
+
+@query("written_transcripts", f"SELECT doc_id, {_WRITTEN} || CASE WHEN doc_id % 5 = 0 THEN ' really' ELSE '' END AS written FROM documents")
+def written_transcripts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _spoken(spark, sf_dir).select("doc_id", W.written_english(F.col("said")).alias("written"))
+
+
+@query("transcript_error_rate", """
+SELECT lang, 100 * CAST(sum(CASE WHEN doc_id % 5 = 0 THEN 1 ELSE 0 END) AS DOUBLE) / (12 * count(*)) AS wer FROM documents GROUP BY lang""")
+def transcript_error_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Word errors of spoken numbers against written ones, both brought to one form first."""
+    k, n = F.col("doc_id") % 8 + 2, F.col("n_chars") % 9 + 1
+    text = lambda *parts: F.concat(*[F.lit(x) if isinstance(x, str) else x.cast("string") for x in parts])
+    gold = text("It is Mister X, 19", k, n, ". They will not pay $", n, k, "0 or ", k, n, "%.")
+    rows = _spoken(spark, sf_dir).select("lang", W.written_english(F.col("said")).alias("said"), W.written_english(gold).alias("gold"))
+    return ST.word_error_rate(rows, ["lang"], "said", "gold")
+
+
+@query("late_interaction", """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings),
+p AS (SELECT vec_id // 64 AS doc, vec_id % 64 // 8 AS place, v FROM v), q AS (SELECT vec_id // 64 - 1 AS doc, vec_id AS a, v FROM v WHERE vec_id % 64 < 6),
+b AS (SELECT doc, place, a, max(list_dot_product(p.v, q.v)) AS best FROM p JOIN q USING (doc) GROUP BY ALL),
+s AS (SELECT doc, place, avg(best) AS score FROM b GROUP BY ALL)
+SELECT doc, place, score, CAST(row_number() OVER (PARTITION BY doc ORDER BY score DESC, place) AS INTEGER) AS rank FROM s QUALIFY rank <= 3""")
+def late_interaction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of eight vectors as the passages of a document, asked with six vectors of the next one."""
+    k = F.col("vec_id")
+    v = table(spark, sf_dir, "embeddings").select("vec_id", F.transform("embedding", lambda x: F.floor(256 * x.cast("double")).cast("double")).alias("v"))
+    passages = v.select(F.expr("vec_id div 64").alias("doc"), F.expr("vec_id % 64 div 8").alias("place"), "v")
+    queries = v.where(k % 64 < 6).select((F.expr("vec_id div 64") - 1).alias("doc"), k.alias("at"), "v")
+    return R.first_passages(R.late_interaction(passages, queries, ["doc"], "place"), ["doc"], "place", 3)
+
+
+@query("constrained_replies", r"""
+WITH t AS (SELECT conv_id, turn, role, 'Two suns rise here. A moon sets, two moons set. ' || text AS r, text FROM conversations),
+s AS (SELECT *, lower(r) AS l FROM t)
+SELECT conv_id, turn, CASE turn % 4
+  WHEN 0 THEN CASE WHEN conv_id % 2 = 0 THEN 1 ELSE 0 END
+  WHEN 1 THEN CASE WHEN len(regexp_extract_all(r, '[\p{L}\p{N}\p{M}_]+')) < 20 + conv_id % 80 THEN 1 ELSE 0 END
+  WHEN 2 THEN CASE WHEN conv_id % 3 = 0 THEN 1 ELSE 0 END
+  ELSE CASE WHEN role[1] = 'u' THEN 1 ELSE 0 END END AS score FROM s""")
+def constrained_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Turns behind two known sentences: words at their place, how often a word occurs there, the reply's length, and first letters of lines."""
+    c, t = F.col("conv_id"), F.col("turn")
+    opening = F.lit("Two suns rise here. A moon sets, two moons set. ")
+    reply = F.when(t % 4 == 0, opening).when(t % 4 == 1, F.concat(opening, "text")).when(t % 4 == 2, opening).otherwise(F.concat(F.col("role"), F.lit("\n\n**two** tall trees")))
+    key = F.when(t % 4 == 0, "contain1##position").when(t % 4 == 1, "length").when(t % 4 == 2, "contain##times2").otherwise("acrostic_alliteration")
+    value = F.when(t % 4 == 0, F.concat(F.lit('"Moon, star"##'), F.when(c % 2 == 0, "2").otherwise("1"))).when(t % 4 == 1, F.concat(F.lit("<"), (20 + c % 80).cast("string"))).when(
+        t % 4 == 2, F.concat(F.lit("moons##"), F.when(c % 3 == 0, "2").otherwise("1"))).otherwise("U T")
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", reply.alias("reply"), key.alias("key"), value.alias("value"))
+    return CO.constraint_scores(rows, "reply", "key", "value").select("conv_id", "turn", "score")

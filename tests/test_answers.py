@@ -57,6 +57,19 @@ def test_small_scores(spark):
     assert one(spark, A.contains_answer(F.lit("A b c"), arr("x", "B C"))) == 1 and one(spark, A.contains_answer(F.lit("x + 1"), arr("x+1"), squeeze=True)) == 1
 
 
+@pytest.mark.parametrize("reply, kind, places, want", [
+    ("1.115", "float", 2, "1.11"), ("2.5", "float", 0, "2.0"), ("12345678901.5", "float", 1, "12345678901.5"), ("1e22", "integer", 0, str(10**22)), ("-7.9", "integer", 0, "-7"), ("many", "integer", 0, None), ("inf", "integer", 0, None), (None, "float", 1, None), (" 3 ", "float", 1, "3.0"), ("x", "list", 0, "x"),
+])
+def test_typed_numbers(spark, reply, kind, places, want):
+    row = spark.createDataFrame([(reply, kind, places)], "r string, k string, p int")
+    assert row.select(A.typed_answer(F.col("r"), F.array(F.lit("a")), F.col("k"), F.col("p")).alias("x")).first().x == want
+
+
+def test_thin_spaces_and_semicolons_in_latex(spark):
+    assert one(spark, A.latex_plain(F.lit("a\\;b"))) == "ab" and one(spark, A.latex_plain(F.lit("1;2"))) == "1;2"
+    assert not one(spark, A.latex_equal(F.lit("1;2"), F.lit("12")))
+
+
 def test_latex(spark):
     for a, b, same in ((r"\dfrac12", "0.5", True), (r"x = .50", "1/2", True), (r"\frac{1}{3}", "0.333", False), (r"90^\circ", "90", True), (r"\text{yes}", "yes", True), ("1,000", "1000", True), (r"-\frac{3}{4}", "-0.75", True)):
         assert one(spark, A.latex_equal(F.lit(a), F.lit(b))) is same, (a, b)

@@ -119,6 +119,11 @@ def test_tree_distance_with_rename_costs():
     for _ in range(150):
         a, b = tree(rnd.randint(1, 7)), tree(rnd.randint(1, 7))
         assert tree_distance(a, b, rename=cost) == pytest.approx(plain_tree_distance(a, b, cost))
+    for _ in range(30):
+        a, b = tree(rnd.randint(9, 13)), tree(rnd.randint(9, 13))
+        assert tree_distance(a, b, rename=cost) == pytest.approx(plain_tree_distance(a, b, cost))
+    wide = lambda n: ("t", [("r", [(f"{i} {j}", []) for j in range(3)]) for i in range(n)])
+    assert tree_distance(wide(700), wide(698)) == 8
 
 
 PAGE = "<html><body>{}</body></html>"
