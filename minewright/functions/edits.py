@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Hashable, Sequence
 
 import pandas as pd
@@ -86,14 +87,14 @@ def _shifted(words: list, start: int, size: int, to: int) -> list:
     return words
 
 
-def _best_shift(hyp: list, ref: list, target: Target, room: int, longest: int, farthest: int) -> tuple[list | None, int]:
-    """The shift that lowers the distance most (then the longest, the earliest, to the earliest place), and how many were tried."""
+def _shifts(hyp: list, ref: list, room: int, longest: int, farthest: int) -> list[tuple[int, int, int]] | None:
+    """``-size, start, to`` of the shifts to try; null if they are ``room`` or more."""
     at, h_err, r_err = _alignment(hyp, ref)
-    columns = target.columns(hyp)
-    now, best, best_words, tried = columns[-1][2], None, None, 0
+    h_sum, r_sum = [0, *itertools.accumulate(h_err)], [0, *itertools.accumulate(r_err)]
     places: dict[Hashable, list[int]] = {}
     for j, w in enumerate(ref):
         places.setdefault(w, []).append(j)
+    out = []
     for start, word in enumerate(hyp):
         for j in places.get(word, ()):
             if abs(j - start) > farthest:
@@ -101,24 +102,46 @@ def _best_shift(hyp: list, ref: list, target: Target, room: int, longest: int, f
             size = 0
             while size < longest and start + size < len(hyp) and j + size < len(ref) and hyp[start + size] == ref[j + size]:
                 size += 1
-                if not any(h_err[start : start + size]) or not any(r_err[j : j + size]) or start <= at[j] < start + size:
+                if h_sum[start + size] == h_sum[start] or r_sum[j + size] == r_sum[j] or start <= at[j] < start + size:
                     continue
                 seen = -1
                 for k in range(j - 1, j + size):
                     to = at[k] + 1 if k >= 0 else 0
-                    if to == seen:
-                        continue
+                    if to != seen:
+                        out.append((-size, start, to))
                     seen = to
-                    words = _shifted(hyp, start, size, to)
-                    kept = min(start, to)
-                    score = now - (target.columns(words[kept:], columns[kept])[-1][2] if target.n else len(words))
-                    tried += 1
-                    rank = (score, size, -start, -to)
-                    if best is None or rank > best:
-                        best, best_words = rank, words
-            if tried >= room:
-                return (best_words if best and best[0] > 0 else None), tried
-    return (best_words if best and best[0] > 0 else None), tried
+            if len(out) >= room:
+                return None
+    return out
+
+
+def _best_shift(hyp: list, shifts: list[tuple[int, int, int]], target: Target) -> list | None:
+    """The words after the shift that lowers the distance most, of equals the longest, the earliest, to the earliest place; null if none does.
+
+    A block moved saves two edits a word at most, so shorter ones are tried only while they can still win.  A shifted text
+    is read from where it differs, and no further than where its column of the table is that of the text as it was.
+    """
+    columns = target.columns(hyp)
+    gained, best = 0, None
+    for negative, start, to in sorted(shifts):
+        size = -negative
+        if 2 * size <= gained:
+            break
+        words = _shifted(hyp, start, size, to)
+        if words is hyp:
+            continue
+        first, last = min(start, to), max(start + size, to)
+        column = columns[first]
+        for i in range(first, len(words)):
+            column = target.extend(column, words[i])
+            if i + 1 >= last and column[0] == columns[i + 1][0] and column[1] == columns[i + 1][1]:
+                gain = columns[i + 1][2] - column[2]
+                break
+        else:
+            gain = columns[-1][2] - column[2]
+        if gain > gained:
+            gained, best = gain, words
+    return best
 
 
 def shift_edits(hyp: list, ref: list, candidates: int = 1000, longest: int = 10, farthest: int = 50) -> int:
@@ -129,14 +152,14 @@ def shift_edits(hyp: list, ref: list, candidates: int = 1000, longest: int = 10,
     """
     if not ref:
         return len(hyp)
-    target, shifts = Target(ref), 0
-    while candidates > 0:
-        words, tried = _best_shift(hyp, ref, target, candidates, longest, farthest)
-        candidates -= tried
-        if words is None or candidates <= 0:
+    target, done = Target(ref), 0
+    while (shifts := _shifts(hyp, ref, candidates, longest, farthest)) is not None:
+        candidates -= len(shifts)
+        words = _best_shift(hyp, shifts, target)
+        if words is None:
             break
-        hyp, shifts = words, shifts + 1
-    return shifts + target.distance(hyp)
+        hyp, done = words, done + 1
+    return done + target.distance(hyp)
 
 
 def _ter(pred: pd.Series, refs: pd.Series) -> pd.DataFrame:
