@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from minewright.llm.words import Runs, fold, hash_sample, letter_runs
+from minewright.llm.words import Runs, fold, hash_sample, letter_runs, unused
 
 BUCKETS, ORDERS = 1 << 14, (1, 2, 3)
 #: Features are shares of a text's n-grams times this.
@@ -186,8 +186,9 @@ def identify_languages(documents: DataFrame, coder: Coder | None, unsure: float
     """``documents`` with ``lang_pred``, ``score`` (0 to 1) and ``ambiguous`` (lead under ``unsure``, or no letters), which replace columns of those names."""
     kept = documents.drop("lang_pred", "score", "ambiguous")
     columns = [F.col(f"`{c}`") for c in kept.columns]
-    found = kept.select(*columns, language_of(F.col("text"), coder, unsure).alias("_found"))
-    return found.select(*columns, "_found.lang_pred", "_found.score", "_found.ambiguous")
+    (name,) = unused(kept, "_found")
+    found = kept.select(*columns, language_of(F.col("text"), coder, unsure).alias(name))
+    return found.select(*columns, *[F.col(name)[c].alias(c) for c in ("lang_pred", "score", "ambiguous")])
 
 
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

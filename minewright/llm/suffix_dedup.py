@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 
 from minewright.llm.anchors import SPAN, RollingHash, anchors
 from minewright.llm.bwt import repeated
-from minewright.llm.words import beside
+from minewright.llm.words import beside, unused
 from minewright.staging import shuffle_width, stage
 
 LENGTH, SLICE = 400, 32
@@ -393,15 +393,15 @@ def _covered(runs: list[int], length: int) -> list[list[int]]:
     return cut
 
 
-def _remove(columns: list[str], length: int, with_text: bool, passage: int | None, chars: int = 1 << 20):
+def _remove(columns: list[str], text_name: str, runs_name: str, passages_name: str, length: int, with_text: bool, passage: int | None, chars: int = 1 << 20):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole_batch in batches:
-            sizes = pc.fill_null(pc.binary_length(whole_batch.column(whole_batch.schema.get_field_index("_text"))), 0).to_numpy(zero_copy_only=False)
+            sizes = pc.fill_null(pc.binary_length(whole_batch.column(whole_batch.schema.get_field_index(text_name))), 0).to_numpy(zero_copy_only=False)
             part = np.cumsum(sizes, dtype=np.int64) // chars
             cuts = np.append(np.append(0, np.flatnonzero(np.diff(part)) + 1), len(part))
             for start, stop in zip(cuts[:-1], cuts[1:], strict=True):
                 batch = whole_batch.slice(start, stop - start)
-                text, runs = (batch.column(batch.schema.get_field_index(c)) for c in ("_text", "_runs"))
+                text, runs = (batch.column(batch.schema.get_field_index(c)) for c in (text_name, runs_name))
                 out: list[list] = [[] for _ in range(7)]
                 for t, r in zip(text, runs, strict=True):
                     whole = t.as_py()
@@ -416,7 +416,7 @@ def _remove(columns: list[str], length: int, with_text: bool, passage: int | Non
                 names = ["n_bytes", "n_removed", "n_spans", "kept_sha256", "removed", "kept", "text"]
                 n = 7 if with_text else 4
                 rest = [batch.column(batch.schema.get_field_index(c)) for c in columns]
-                more = [pa.array([len(_covered(r.as_py() or [], passage)) for r in batch.column(batch.schema.get_field_index("_passages"))], pa.int64())] if passage else []
+                more = [pa.array([len(_covered(r.as_py() or [], passage)) for r in batch.column(batch.schema.get_field_index(passages_name))], pa.int64())] if passage else []
                 yield pa.RecordBatch.from_arrays([*rest, *(pa.array(c, k) for c, k in zip(out[:n], types, strict=False)), *more], names=[*columns, *names[:n], *["n_passages"] * len(more)])
 
     return run
@@ -427,29 +427,31 @@ def remove_repeats(documents: DataFrame, length: int = LENGTH, with_text: bool =
 
     With ``passage``, a shorter length, also ``n_passages``: how many runs of bytes repeat in strings of so many; they stay.
     """
+    key, check, text_name, runs_name, passages_name = unused(documents, "_key", "_check", "_text", "_runs", "_passages")
     for seed in range(4):
-        keyed = documents.withColumn("_key", F.xxhash64("text", F.lit(17 + seed))).withColumn("_check", F.xxhash64(F.lit(23), F.col("text")))
-        clash = keyed.groupBy("_key").agg((F.min("_check") != F.max("_check")).alias("c")).agg(F.max("c")).first()[0]
+        keyed = documents.withColumn(key, F.xxhash64("text", F.lit(17 + seed)))
+        hashes = documents.select(F.xxhash64("text", F.lit(17 + seed)).alias(key), F.xxhash64(F.lit(23), F.col("text")).alias(check))
+        clash = hashes.groupBy(key).agg((F.min(check) != F.max(check)).alias("c")).agg(F.max("c")).first()[0]
         if not clash:
             break
     else:
         raise RuntimeError("two texts have one 64-bit key with every seed")
 
     def runs_of(n: int, name: str) -> DataFrame:
-        texts = keyed.where(F.octet_length("text") >= n).select(F.col("_key").alias("key"), "text")
-        return repeated_runs(texts, n, **options).select(F.col("key").alias("_key"), F.col("runs").alias(name))
+        texts = keyed.where(F.octet_length("text") >= n).select(F.col(key).alias("key"), "text")
+        return repeated_runs(texts, n, **options).select(F.col("key").alias(key), F.col("runs").alias(name))
 
-    runs = runs_of(length, "_runs")
+    runs = runs_of(length, runs_name)
     if passage:
-        runs = stage(runs, "repeat-runs").join(stage(runs_of(passage, "_passages"), "repeat-passages"), "_key", "full")
+        runs = stage(runs, "repeat-runs").join(stage(runs_of(passage, passages_name), "repeat-passages"), key, "full")
     added = _OUT + (", removed array<array<long>>, kept binary, text string" if with_text else "") + (", n_passages long" if passage else "")
     kept, schema = beside(documents, added + ("" if with_text else ", text string"))
     if not with_text:
         schema = type(schema)([f for f in schema.fields if f.name != "text"])
     columns = kept.columns
-    joined = keyed.join(runs, "_key", "left").withColumnRenamed("text", "_text")
-    found = ["_runs", "_passages"] if passage else ["_runs"]
-    return joined.select(*[F.col(f"`{c}`") for c in columns], "_text", *found).mapInArrow(_remove(columns, length, with_text, passage), schema)
+    joined = keyed.join(runs, key, "left").withColumnRenamed("text", text_name)
+    found = [runs_name, passages_name] if passage else [runs_name]
+    return joined.select(*[F.col(f"`{c}`") for c in columns], text_name, *found).mapInArrow(_remove(columns, text_name, runs_name, passages_name, length, with_text, passage), schema)
 
 
 #: Bytes of a passage of some fifty words: five a word with its space, and some.

@@ -29,7 +29,7 @@ def letter_words(text: str | None) -> list[str]:
     return [w for x in clean for w in x.split()]
 
 
-#: Characters worked on at a time; a longer text is read in parts, cut where no letter run is.
+#: Characters worked on at a time; a longer text is read in parts, cut where no letter run is. A run longer than that is read whole.
 WINDOW = 1 << 17
 
 
@@ -49,12 +49,15 @@ def _letters() -> np.ndarray:
 
 
 def _parts(text: str, window: int) -> Iterator[str]:
-    """The text in parts of ``window`` characters at most, cut after the last character that is no letter, or anywhere in a run as long as that."""
-    while len(text) > window:
-        cut = next((i for i in range(window, 0, -1) if not text[i - 1].isalpha()), window)
-        yield text[:cut]
-        text = text[cut:]
-    yield text
+    """The text in parts of ``window`` characters, cut after the last character that is no letter, or at the end of a run as long as that."""
+    at = 0
+    while len(text) - at > window:
+        cut = next((i for i in range(at + window, at, -1) if not text[i - 1].isalpha()), None)
+        if cut is None:
+            cut = next((i for i in range(at + window, len(text)) if not text[i].isalpha()), len(text))
+        yield text[at:cut]
+        at = cut
+    yield text[at:]
 
 
 def letter_runs(texts: pa.Array, window: int = WINDOW) -> Iterator[Runs]:
@@ -114,6 +117,16 @@ def hash_sample(doc_id: Column, wanted: int, there: int, seed: int = 11) -> Colu
     return F.pmod(F.xxhash64(doc_id, F.lit(seed)), F.lit(1 << 40)) < int(wanted / there * (1 << 40))
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, with underscores after those that a column of ``df`` has, whatever its case."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+    return out
+
+
 def beside(df: DataFrame, added: str) -> tuple[DataFrame, StructType]:
     """``df`` without columns of the added names (``"a int, b string"``), which are replaced, and the schema of both together."""
     new = StructType.fromDDL(added)

@@ -177,3 +177,31 @@ def test_archives_of_nothing_and_damage(spark, tmp_path):
     open(path, "wb").write(data)
     with pytest.raises(Exception, match="ZstdError|damaged|checksum"):
         W.read_archives(index.select("bundle").distinct(), folder).collect()
+
+
+CLASHING = "doc_id long, text string, _key int, _text int, _runs int, _passages int, _check int, _found int, _row int, _component int, _first int"
+
+
+def test_extra_columns_named_like_inner_ones(spark):
+    from corpus_pipeline import drop_near_copies
+    from minewright.llm.language_id import fit_language_id, identify_languages
+    from minewright.llm.suffix_dedup import remove_repeats
+
+    shared = "the same words again and again " * 30
+    docs = spark.createDataFrame([(i, t, *range(9)) for i, t in [(1, "a " + shared), (2, "b " + shared), (3, None), (4, "12")]], CLASHING)
+    got = {r.doc_id: r for r in remove_repeats(docs, 400, passage=256).collect()}
+    assert got[1].n_removed > 400 and got[3].n_bytes == 0 and all(got[i]._passages == 3 and got[i]._key == 0 for i in got)
+    coder = fit_language_id(spark.createDataFrame([(i, w * 9, l) for i, (w, l) in enumerate([("the same words again ", "en"), ("le chat noir et blanc ", "fr")] * 6)], "doc_id long, text string, lang string"))
+    assert {r.doc_id: (r._found, r.lang_pred) for r in identify_languages(docs, coder).collect()} == {1: (5, "en"), 2: (5, "en"), 3: (5, "und"), 4: (5, "und")}
+    near = drop_near_copies(spark, docs, "")
+    assert near.columns == docs.columns and {r.doc_id for r in near.collect()} == {1, 3, 4}
+
+
+@pytest.mark.parametrize("window", [7, 50])
+def test_letter_runs_do_not_depend_on_the_window(window):
+    from minewright.llm.words import _parts, letter_runs
+
+    texts = ["a" * 120 + " bc " + "é" * 60 + "1" + "x" * 49, "", None, "ab cd " * 40]
+    assert ["".join(_parts(t, window)) for t in texts if t] == [t for t in texts if t]
+    read = lambda w: [(int(o), "".join(map(chr, r.codes[s : s + n]))) for r in letter_runs(pa.array(texts), w) for s, n, o in zip(r.start, r.size, r.owner, strict=True)]
+    assert read(window) == read(1 << 17)
