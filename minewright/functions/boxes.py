@@ -68,3 +68,18 @@ def best_resolution(width: Column, height: Column, candidates: list[tuple[int, i
         option = F.struct(effective.alias("e"), (effective - w * h).alias("waste"), F.lit(-i).alias("i"), F.lit(w).alias("w"), F.lit(h).alias("h"))
         best = option if best is None else F.greatest(best, option)
     return F.struct(best["w"].alias("w"), best["h"].alias("h"))
+
+
+def boxes_of(text: Column) -> Column:
+    """All ``[x1, y1, x2, y2]`` of a list of boxes, one bare box, or ``<box>`` marks; those that are no four numbers go."""
+    marked = F.regexp_extract_all(text, F.lit(r"(?s)<box>(.*?)</box>"), 1)
+    bare = F.regexp_extract_all(text, F.lit(r"[\[(]([^\[\]()]*)[\])]"), 1)
+    lists = F.transform(F.when(F.size(marked) > 0, marked).otherwise(bare), lambda b: F.transform(F.split(b, ","), lambda x: F.trim(x).try_cast("double")))
+    return F.filter(lists, lambda b: (F.size(b) == 4) & ~F.exists(b, lambda x: x.isNull()))
+
+
+def sequence_iou(preds: Column, golds: Column) -> Column:
+    """Mean overlap of boxes at equal places; 0 for another number of boxes or none."""
+    each = F.zip_with(preds, golds, iou)
+    mean = F.aggregate(each, F.lit(0.0), lambda a, x: a + x) / F.size(golds)
+    return F.when((F.size(preds) != F.size(golds)) | (F.size(golds) == 0), 0.0).otherwise(mean)

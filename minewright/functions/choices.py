@@ -102,3 +102,30 @@ def scored(fn, pred: Column, ref: Column, kind: str = "double") -> Column:
         return pd.Series([fn(a, b) for a, b in zip(p, r, strict=True)])
 
     return run(pred, ref)
+
+
+#: What may stand before and after a letter that names an option, in the order they are tried.
+AFFIXES = (("", "."), ("", ","), ("", ":"), ("", ")"), ("", ")."), ("(", ")"), ("(", ")."), (":", ""), (":", ","), (":", "."), (":", ")"), (":", ")."))
+
+
+def named_option(reply: Column, options: Column, letters: str = "ABCDE") -> Column:
+    """The letter that alone stands in a reply, bare or between one pair of affixes, else of the one option whose text is in it; null for none.
+
+    A bare ``A`` in a reply of more than three words may be an article, so then no bare letter counts.
+    """
+    words = F.filter(F.split(reply, r"\s+"), lambda w: w != "")
+    names = F.array(*[F.lit(x) for x in letters])
+
+    def only(a: str, b: str) -> Column:
+        found = F.filter(names, lambda x: F.array_contains(words, F.concat(F.lit(a), x, F.lit(b))))
+        return F.when(F.size(found) == 1, F.get(found, 0))
+
+    bare = F.when(~(F.array_contains(words, "A") & (F.size(words) > 3)), only("", ""))
+    inside = F.filter(F.transform(options, lambda o, i: F.struct(i.alias("i"), F.contains(F.lower(reply), F.lower(o)).alias("ok"))), lambda x: x["ok"])
+    return F.coalesce(bare, *[only(a, b) for a, b in AFFIXES], F.when(F.size(inside) == 1, F.char(65 + F.get(inside, 0)["i"])))
+
+
+def letter_or_exact(reply: Column, gold: Column) -> Column:
+    """Equality, where a gold letter is met by one with brackets or a stop at a reply's beginning."""
+    letter = F.regexp_extract(reply, r"^\(?([A-Za-z])\)?", 1)
+    return F.when(gold.rlike("^[A-Za-z]$") & (F.length(reply) > 1) & (letter != ""), letter).otherwise(reply) == gold

@@ -47,3 +47,32 @@ def frame_indices(total: Column, wanted: int) -> Column:
     """Evenly spread frame numbers from the first to the last; all if there are no more."""
     some = F.transform(F.sequence(F.lit(0), F.lit(wanted - 1)), lambda i: F.floor(i * (total - 1) / max(wanted - 1, 1)).cast("int"))
     return F.when(total <= wanted, F.sequence(F.lit(0), (total - 1).cast("int"))).otherwise(some)
+
+
+#: How each form writes the system's text, a human's and a model's turn; ``{}`` is the text.
+FORMS = {
+    "two_seps": ("{} ", "USER: {} ", "ASSISTANT: {}</s>"),
+    "inst": ("<<SYS>>\n{}\n<</SYS>>\n\n", "<s>[INST] {} [/INST]", " {} </s>"),
+    "turns": ("", "<start_of_turn>user\n{}<end_of_turn>\n", "<start_of_turn>model\n{}<end_of_turn>\n"),
+    "headers": ("<|begin_of_text|><|start_header_id|>system<|end_header_id|>\n\n{}<|eot_id|>", "<|start_header_id|>user<|end_header_id|>\n\n{}<|eot_id|>", "<|start_header_id|>assistant<|end_header_id|>\n\n{}<|eot_id|>"),
+    "im_tight": ("<|im_start|>system\n{}<|im_end|>", "<|im_start|>user\n{}<|im_end|>", "<|im_start|>assistant\n{}<|im_end|>"),
+    "im_lines": ("<|im_start|>system\n{}<|im_end|>\n", "<|im_start|>user\n{}<|im_end|>\n", "<|im_start|>assistant\n{}<|im_end|>\n"),
+    "plain": ("", "{}", "{}\n"),
+}
+
+
+def chat_prompt(turns: Column, form: str, system: str = "") -> Column:
+    """``from, value`` turns as the one text that a form makes of them; null where human and model do not alternate.
+
+    A first turn that is not the human's goes.  ``inst`` has its system text within the first human turn and no mark of
+    beginning in front; ``plain`` has the image mark alone for a first turn that holds one.
+    """
+    before, human, model = FORMS[form]
+    fill = lambda pattern, text: F.concat(*[x for i, part in enumerate(pattern.split("{}")) for x in ([text] if i else []) + [F.lit(part)]])
+    body = F.when(F.try_element_at(turns, F.lit(1))["from"] == "human", turns).otherwise(F.slice(turns, F.lit(2), F.greatest(F.size(turns) - 1, F.lit(0))))
+    fair = ~F.exists(F.transform(body, lambda t, i: t["from"] != F.when(i % 2 == 0, "human").otherwise("gpt")), lambda x: x)
+    head = F.lit(before.replace("{}", system)) if system and before else F.lit("")
+    asked = lambda t, i: F.when(i == 0, F.concat(head, t["value"])).otherwise(t["value"]) if form == "inst" else (F.when((i == 0) & F.contains(t["value"], F.lit(IMAGE)), F.lit(IMAGE)).otherwise(t["value"]) if form == "plain" else t["value"])
+    written = F.array_join(F.transform(body, lambda t, i: F.when(i % 2 == 0, fill(human, asked(t, i))).otherwise(fill(model, t["value"]))), "")
+    whole = F.regexp_replace(written, "^<s>", "") if form == "inst" else F.concat(head, written)
+    return F.when(fair, whole)

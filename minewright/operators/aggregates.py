@@ -98,3 +98,27 @@ def combined_stderr(rows: DataFrame, by: list[str], mean: str, stderr: str, n: s
         return F.struct(((acc["m"] * acc["n"] + x["m"] * x["n"]) / total).alias("m"), v.alias("v"), total.alias("n"))
 
     return rows.groupBy(*by).agg(F.sqrt(F.aggregate(parts, start, step)["v"]).alias("combined_stderr"))
+
+
+def paired_references(predictions: DataFrame, references: DataFrame) -> DataFrame:
+    """``index, category, text, video, group``: whether both halves of a pair are right as texts, as videos, and as all four.
+
+    ``predictions`` have ``index, half, kind, category, pred`` (kind ``text`` or ``video``, half ``pos`` or ``neg``), ``references``
+    ``index, half, kind, gold``; a prediction counts by its first letter in any case, one that is missing is wrong.
+    """
+    met = predictions.join(references, ["index", "half", "kind"])
+    right = F.coalesce(F.lower(F.substring("pred", 1, 1)) == F.lower("gold"), F.lit(False))
+    both = lambda kind: F.sum(F.when((F.col("kind") == kind) & right, 1).otherwise(0)) == 2
+    return met.groupBy("index", "category").agg(both("text").alias("text"), both("video").alias("video")).withColumn("group", F.col("text") & F.col("video"))
+
+
+def route_counts(rows: DataFrame, routes: dict[str, Column], by: list[str] | None = None) -> DataFrame:
+    """How many rows took each route; a row may take several."""
+    return rows.groupBy(*(by or [])).agg(F.count(F.lit(1)).alias("total"), *[F.count_if(F.coalesce(c, F.lit(False))).alias(n) for n, c in routes.items()])
+
+
+def extraction_summary(files: DataFrame, n_items: str, seconds: str) -> DataFrame:
+    """One row: files, those with items, items, items for each file that has some, and seconds for each file."""
+    return files.agg(
+        F.count(F.lit(1)).alias("n_files"), F.count_if(F.col(n_items) > 0).alias("n_valid"), F.coalesce(F.sum(n_items), F.lit(0)).alias("n_items"),
+        F.coalesce(F.try_divide(F.sum(n_items), F.count_if(F.col(n_items) > 0)), F.lit(0.0)).alias("items_per_valid"), F.coalesce(F.avg(seconds), F.lit(0.0)).alias("seconds_per_file"))

@@ -149,3 +149,11 @@ def sentence_bleu(pred: list[str], ref: list[str]) -> float:
             smooth *= 2
         logs += math.log(match / total if match else 1 / (smooth * total))
     return math.exp(logs / orders + min(0.0, 1 - len(ref) / len(pred))) if orders == 4 else 0.0
+
+
+def sentence_bleu_score(pred: Column, ref: Column) -> Column:
+    """``sentence_bleu`` of two texts' words as a batched column."""
+    def score(p: pd.Series, r: pd.Series) -> pd.Series:
+        return pd.Series([sentence_bleu((a or "").split(), (b or "").split()) for a, b in zip(p, r, strict=True)], dtype="float64")
+
+    return F.pandas_udf(score, "double")(pred, ref)

@@ -73,13 +73,19 @@ def wanted(strategy: str, n: int) -> tuple[str, int]:
     return kind, math.ceil(n * int(size[:-1]) / 100) if size.endswith("%") else int(size)
 
 
+#: Rows of a sample that one task may hold.
+FEW_ROWS = 10_000
+
+
 def sample(rows: DataFrame, strategy: str, order: str, seed: int = 0) -> DataFrame:
     """Rows of a mixture entry: all, the first, the last or a hashed choice of so many."""
     if strategy == "all":
         return rows
     kind, k = wanted(strategy, rows.count())
     by = {"first": [F.col(order).asc()], "end": [F.col(order).desc()], "random": [hash_order(F.col(order), seed), F.col(order)]}[kind]
-    return rows.orderBy(*by).limit(k)
+    if k <= FEW_ROWS:
+        return rows.orderBy(*by).limit(k)  # a bounded heap in each task
+    return ranked(rows, by).where(F.col("_rank") <= k).drop("_rank")
 
 
 def mixture(entries: list[tuple[DataFrame, str]], order: str, seed: int = 0) -> DataFrame:

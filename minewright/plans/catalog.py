@@ -27,7 +27,7 @@ def query(name: str, oracle: str | None = None):
     return add
 
 
-from minewright.plans import answers, grading, joins, lookups, pages, replies, sampling, scores, texts, urls  # noqa: E402,F401  register on import
+from minewright.plans import answers, extras, grading, joins, lookups, pages, replies, sampling, scores, texts, urls  # noqa: E402,F401  register on import
 
 #: Other names of queries: forms that once read a part of their table or text, which now do the whole job.
 ALSO = {

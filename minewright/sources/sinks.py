@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from minewright.operators.sampling import running_buckets
+
 
 def write_lines(rows: DataFrame, column: str, path: str) -> None:
     """Distinct values, sorted, a line each."""
@@ -79,3 +81,15 @@ def split_metrics(results: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Numbers to log and texts for the summary, of results whose ``value`` is text; keys as in ``flat_metrics``."""
     flat = flat_metrics(results).withColumn("number", F.col("value").try_cast("double"))
     return flat.where("number IS NOT NULL").select("key", F.col("number").alias("value")), flat.where("number IS NULL AND value IS NOT NULL").select("key", "value")
+
+
+def write_samples(samples: DataFrame, task: str, order: str, path: str) -> None:
+    """A folder of JSON lines for each task, in order within a file; each line has the digest of the row's other columns."""
+    rest = [c for c in samples.columns if c != task]
+    hashed = samples.withColumn("sample_hash", F.sha2(F.to_json(F.struct(*rest)), 256))
+    hashed.repartitionByRange(task, order).sortWithinPartitions(task, order).write.mode("overwrite").partitionBy(task).json(path)
+
+
+def write_parts(rows: DataFrame, order: str, size: str, limit: int, path: str) -> None:
+    """Rows in order in parts, a folder each, that are cut where the running size passes a multiple of ``limit``."""
+    running_buckets(rows.withColumn("_all", F.lit(0)), ["_all"], order, size, limit).drop("_all").withColumnRenamed("bucket", "part").write.mode("overwrite").partitionBy("part").json(path)
