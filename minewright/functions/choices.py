@@ -129,3 +129,53 @@ def letter_or_exact(reply: Column, gold: Column) -> Column:
     """Equality, where a gold letter is met by one with brackets or a stop at a reply's beginning."""
     letter = F.regexp_extract(reply, r"^\(?([A-Za-z])\)?", 1)
     return F.when(gold.rlike("^[A-Za-z]$") & (F.length(reply) > 1) & (letter != ""), letter).otherwise(reply) == gold
+
+
+#: What comes before an answer in a reply, and what is no answer by itself.
+BEFORE_ANSWERS = ("could be ", "so ", "is ", "thus ", "therefore ", "final ", "answer ", "result ")
+NO_ANSWERS = (":", ",", ".", "!", "?", ";", "'")
+_OPEN_NUMBERS = (r"-?\b\d{1,3}(?:,\d{3})+\b", r"-?\d+(?:\.\d+)?[eE][+-]?\d+", r"-?(?:\d+\.\d+|\.\d+|\d+\b)(?![eE][+-]?\d+)(?![,\d])")
+
+
+def _stripped(s: Column) -> Column:
+    return F.regexp_replace(s, r"(?U)^\s+|\s+\z", "")
+
+
+def comparable(texts: Column) -> Column:
+    """``text, number`` of each text: numbers rounded to two places, other texts in lower case, single letters with a space on either side."""
+    def one(s: Column) -> Column:
+        s = _stripped(s)
+        number = F.when(F.regexp_like(F.replace(s, F.lit(",")), F.lit(r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$")), F.round(F.replace(s, F.lit(",")).try_cast("double"), 2))
+        as_text = lambda t: F.struct(t.alias("text"), F.lit(None).cast("double").alias("number"))
+        low = F.lower(s)
+        named = F.when(F.length(s) == 1, F.array(as_text(F.concat(F.lit(" "), low)), as_text(F.concat(low, F.lit(" "))))).otherwise(F.array(as_text(low)))
+        return F.when(number.isNotNull(), F.array(F.struct(F.lit(None).cast("string").alias("text"), number.alias("number")))).otherwise(named)
+
+    return F.flatten(F.transform(texts, one))
+
+
+def open_answers(reply: Column) -> Column:
+    """What an open reply may answer, as ``comparable`` gives it: of each line the shortest part behind a word that leads to an answer, and the numbers in these; the whole reply if there is none."""
+    text = F.lower(F.regexp_replace(_stripped(reply), r"^\.+|\.+\z", ""))
+    lines = F.split(text, "\n")
+
+    marks = F.array(*[F.lit(m) for m in (*BEFORE_ANSWERS, "=")])
+
+    def shortest(line: Column, i: Column) -> Column:
+        def step(found: Column, mark: Column) -> Column:
+            tail = _stripped(F.call_function("substring_index", line, mark, F.lit(-1)))
+            there = F.contains(line, mark) & ((mark != "=") | (i == F.size(lines) - 1))
+            return F.when(there & ((found == "") | (F.length(tail) < F.length(found))), tail).otherwise(found)
+
+        return F.aggregate(marks, F.lit(""), step)
+
+    parts = F.filter(F.transform(lines, shortest), lambda s: (s != "") & ~s.isin(*NO_ANSWERS))
+    numbers = F.flatten(F.transform(parts, lambda s: F.concat(*[F.regexp_extract_all(s, F.lit(p), 0) for p in _OPEN_NUMBERS])))
+    return F.array_distinct(comparable(F.when(F.size(parts) == 0, F.array(text)).otherwise(F.concat(parts, numbers))))
+
+
+def open_match(reply: Column, golds: Column) -> Column:
+    """Whether a part of an open reply holds one of the gold texts, or a number of it is one of the gold numbers."""
+    gold = comparable(golds)
+    hit = lambda p, g: (F.contains(p["text"], g["text"])) | (p["number"] == g["number"])
+    return F.exists(open_answers(reply), lambda p: F.exists(gold, lambda g: F.coalesce(F.when(p["number"].isNotNull(), p["number"] == g["number"]).otherwise(hit(p, g)), F.lit(False))))

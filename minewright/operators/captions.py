@@ -13,6 +13,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from minewright.functions.edits import edit_distance
+
 SIGMA = 6.0
 
 
@@ -86,15 +88,16 @@ def consensus_scores(rows: DataFrame, key: list[str], pred: str, ref: str) -> Da
 
 
 def longest_common(a: list[str], b: list[str]) -> int:
-    """Length of the longest common subsequence."""
-    if len(a) < len(b):
-        a, b = b, a
-    row = [0] * (len(b) + 1)
+    """Length of the longest common subsequence, a bit for each word of ``b`` at a time."""
+    where: dict[str, int] = {}
+    for j, y in enumerate(b):
+        where[y] = where.get(y, 0) | 1 << j
+    full = (1 << len(b)) - 1
+    row = full  # a zero where the length grows
     for x in a:
-        before = 0
-        for j, y in enumerate(b, 1):
-            before, row[j] = row[j], before + 1 if x == y else max(row[j], row[j - 1])
-    return row[-1]
+        hit = row & where.get(x, 0)
+        row = (row + hit | row - hit) & full
+    return len(b) - row.bit_count()
 
 
 def rouge_l(pred: Column, ref: Column, beta: float = 1.2) -> Column:
@@ -157,3 +160,19 @@ def sentence_bleu_score(pred: Column, ref: Column) -> Column:
         return pd.Series([sentence_bleu((a or "").split(), (b or "").split()) for a, b in zip(p, r, strict=True)], dtype="float64")
 
     return F.pandas_udf(score, "double")(pred, ref)
+
+
+def page_text_scores(pred: Column, ref: Column) -> Column:
+    """``precision, recall, f_measure`` of the sets of words of a read page, and ``edits``: character edits over the longer text's length; 0 where nothing is shared or there is nothing."""
+    words = lambda s: F.array_distinct(F.filter(F.split(F.coalesce(s, F.lit("")), r"\s+"), lambda w: w != ""))
+    a, b = words(pred), words(ref)
+    both = F.size(F.array_intersect(a, b)).cast("double")
+    share = lambda n: F.coalesce(F.try_divide(both, F.size(n)), F.lit(0.0))
+    longest = F.greatest(F.length(F.coalesce(pred, F.lit(""))), F.length(F.coalesce(ref, F.lit(""))))
+
+    def edits(p: pd.Series, r: pd.Series) -> pd.Series:
+        return pd.Series([edit_distance(x or "", y or "") for x, y in zip(p, r, strict=True)], dtype="int64")
+
+    return F.struct(
+        share(a).alias("precision"), share(b).alias("recall"), F.coalesce(F.try_divide(2 * both, F.size(a) + F.size(b)), F.lit(0.0)).alias("f_measure"),
+        F.coalesce(F.try_divide(F.pandas_udf(edits, "long")(pred, ref), longest), F.lit(0.0)).alias("edits"))

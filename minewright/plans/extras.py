@@ -138,3 +138,43 @@ def route_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     host, n = F.regexp_extract("url", "://([^/?#]*)", 1), F.octet_length("html")
     routes = {"mirrored": F.startswith(host, F.lit("m.")) | F.startswith(host, F.lit("blog.")), "decorated": F.contains("url", F.lit("#")) | F.contains("url", F.lit("?")), "too_small": n < 1000, "large_enough": n >= 1000, "with_image": F.contains("html", F.lit("<img"))}
     return A.route_counts(table(spark, sf_dir, "pages").withColumn("side", F.col("page_id") % 2), routes, ["side"])
+
+
+@query("open_responses", """
+WITH d AS (SELECT doc_id, n_chars, doc_id % 6 AS k, n_chars % 3 = 0 AS w FROM documents)
+SELECT doc_id, CASE k WHEN 0 THEN NOT w WHEN 1 THEN true WHEN 2 THEN NOT w WHEN 3 THEN false WHEN 4 THEN true ELSE NOT w END AS correct FROM d""")
+def open_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Replies that lead to a number, a word or a letter in several ways, against the gold ones."""
+    k, n = F.col("doc_id") % 6, F.col("n_chars")
+    off = F.when(n % 3 == 0, 1).otherwise(0)
+    s = lambda c: c.cast("string")
+    reply = (
+        F.when(k == 0, F.concat(F.lit("Let me see: 7 and 8.\nSo the answer is "), s(n + off), F.lit("."))).when(k == 1, F.concat(F.lit("x = "), F.format_string("%,d", n * 1000), F.lit("\ntherefore it IS Blue")))
+        .when(k == 2, F.concat(F.lit("n = 3 = "), s(n + off), F.lit(".004"))).when(k == 3, "no idea").when(k == 4, "Final Result is option b here").otherwise(F.concat(F.lit("thus 1"), s(n + off), F.lit("e2 it could be "), s(n), F.lit("1 "))))
+    gold = (
+        F.when(k == 0, F.array(s(n))).when(k == 1, F.array(F.lit("red"), F.lit("BLUE"))).when(k == 2, F.array(F.lit("x"), F.concat(s(n), F.lit(".00")))).when(k == 3, F.array(F.lit("an idea"), s(n)))
+        .when(k == 4, F.array(F.lit("B"))).otherwise(F.array(F.concat(s(n + off), F.lit("1")))))
+    return table(spark, sf_dir, "documents").select("doc_id", CH.open_match(reply, gold).alias("correct"))
+
+
+@query("page_text_overlap", r"""
+WITH n AS (SELECT * FROM (SELECT conv_id, turn, role, text, lead(text) OVER w AS ref, lead(true) OVER w AS has FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn, role, text)) n WHERE has),
+w AS (SELECT role, list_distinct(list_filter(string_split_regex(text, '\s+'), lambda x: x <> '')) AS a, list_distinct(list_filter(string_split_regex(ref, '\s+'), lambda x: x <> '')) AS b FROM n),
+s AS (SELECT role, len(list_intersect(a, b)) AS k, len(a) AS a, len(b) AS b FROM w)
+SELECT role, avg(coalesce(k / nullif(a, 0), 0)) AS precision, avg(coalesce(k / nullif(b, 0), 0)) AS recall, avg(coalesce(2 * k / nullif(a + b, 0), 0)) AS f_measure FROM s GROUP BY role""")
+def page_text_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Turns as read pages against the next ones, by role."""
+    return _page_scores(spark, sf_dir, ["precision", "recall", "f_measure"])
+
+
+@query("page_text_edits")
+def page_text_edits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mean share of character edits, by role; tested against a plain table of distances."""
+    return _page_scores(spark, sf_dir, ["edits"])
+
+
+def _page_scores(spark: SparkSession, sf_dir: str, names: list[str]) -> DataFrame:
+    talk = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    pairs = J.following(talk, "conv_id", ["turn", "role", "text"], "text", "ref")
+    scores = pairs.select("role", C.page_text_scores(F.col("text"), F.col("ref")).alias("s"))
+    return scores.groupBy("role").agg(*[F.avg(f"s.{n}").alias(n) for n in names])

@@ -112,3 +112,17 @@ def test_written_samples_and_parts(spark, tmp_path):
     sinks.write_parts(sizes, "id", "size", 100, str(tmp_path / "parts"))
     parts = {p.name: sorted(json.loads(x)["id"] for f in p.glob("*.json") for x in f.read_text().splitlines()) for p in (tmp_path / "parts").glob("part=*")}
     assert parts == {"part=0": [0, 1, 2], "part=1": [3, 4], "part=2": [5, 6, 7], "part=3": [8, 9]}
+
+
+@pytest.mark.parametrize("reply, golds, want", [
+    ("The answer is 1,234.567.", ["1234.57"], True), ("so 5\nand 6", ["6"], False), ("so 5\nx = 6", ["6"], True), ("x = 6\nso 5", ["6"], False), ("it is Blue", ["blue"], True), ("option b", ["b"], True), ("about", ["b"], False), ("is 2e3", ["2000"], True),
+    ("thus :", ["thus"], True), ("", [""], True), ("result 12", ["2"], False), ("final answer is -3.", ["-3"], True), ("no", ["yes", "5"], False), ("could be so is 7", ["7.004"], True), ("nothing here 9", ["9"], False),
+])
+def test_open_match(spark, reply, golds, want):
+    assert one(spark, CH.open_match(F.lit(reply), F.array(*[F.lit(g) for g in golds]))) is want
+
+
+def test_page_text_scores(spark):
+    rows = [("a b b c", "b c d"), (None, "a"), ("", None), ("héllo wörld", "hello world"), ("x " * 400, "x " * 390)]
+    got = [tuple(r.s) for r in spark.createDataFrame(rows, "p string, r string").select(C.page_text_scores(F.col("p"), F.col("r")).alias("s")).collect()]
+    assert got[0] == pytest.approx((2 / 3, 2 / 3, 2 / 3, 4 / 7)) and got[1] == (0, 0, 0, 1) and got[2] == (0, 0, 0, 0) and got[3] == pytest.approx((0, 0, 0, 2 / 11)) and got[4][3] == pytest.approx(20 / 800)
