@@ -96,13 +96,17 @@ def _python_scores(metric: pd.Series, response: pd.Series, target: pd.Series) ->
     return pd.Series([PYTHON_METRICS[m](p, g) if m in PYTHON_METRICS and p is not None and g is not None else None for m, p, g in known], dtype="float64")
 
 
-def field_scores(fields: DataFrame) -> DataFrame:
-    """``fields`` (``metric, response, target`` and more) with ``score``: by the metric that the row names; a missing reply scores 0."""
+def field_scores(fields: DataFrame, python: bool = True) -> DataFrame:
+    """``fields`` (``metric, response, target`` and more) with ``score``: by the metric that the row names; a missing reply scores 0.
+
+    Without ``python`` all rows stay in the JVM, and the metrics of ``PYTHON_METRICS`` are unknown.
+    """
     unknown = F.raise_error(F.concat(F.lit("unknown metric "), F.coalesce("metric", F.lit("null")))).cast("double")
     score = None
     for name, make in METRICS.items():
         score = F.when(F.col("metric") == name, make()) if score is None else score.when(F.col("metric") == name, make())
-    score = score.when(F.col("metric").isin(*PYTHON_METRICS), F.pandas_udf(_python_scores, "double")("metric", "response", "target"))
+    if python:
+        score = score.when(F.col("metric").isin(*PYTHON_METRICS), F.pandas_udf(_python_scores, "double")("metric", "response", "target"))
     return fields.withColumn("score", F.when(F.col("response").isNull(), 0.0).otherwise(F.coalesce(score.otherwise(unknown), F.lit(0.0))))
 
 
@@ -151,7 +155,8 @@ def evaluate_tasks(replies: DataFrame, tasks: DataFrame, fields: DataFrame, prev
         changed = F.broadcast(names) if names.count() <= FEW_TASKS else names
         work = replies.join(changed, "task", "left_semi")
         kept = previous.join(changed, "task", "left_anti").join(replies.select("task", "item"), ["task", "item"], "left_semi").select("task", "item", "reply", "answer", "score")
-    scored = item_scores(field_scores(reply_fields(work, tasks, fields)))
+    python = not fields.where(F.col("metric").isin(*PYTHON_METRICS)).isEmpty()
+    scored = item_scores(field_scores(reply_fields(work, tasks, fields), python))
     fresh = work.select("task", "item", "reply", "answer").join(scored, ["task", "item"], "left").withColumn("score", F.coalesce("score", F.lit(-1.0)))
     return fresh if kept is None else fresh.unionByName(kept)
 

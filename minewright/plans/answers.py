@@ -233,7 +233,7 @@ i AS (SELECT task, item, CASE WHEN least THEN least(a, b, c, CASE WHEN d < 0 THE
 
 @query("structured_tasks", f"WITH {_ITEMS} SELECT task, count(*) AS n_items, avg(score) AS score FROM i GROUP BY task")
 def structured_tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return S.task_scores(S.item_scores(S.field_scores(_fields(spark, sf_dir))))
+    return S.task_scores(S.item_scores(S.field_scores(_fields(spark, sf_dir), python=False)))
 
 
 @query("structured_summary", f"WITH {_ITEMS}, t AS (SELECT task, count(*) AS n, avg(score) AS s FROM i GROUP BY task) SELECT count(*) AS n_tasks, CAST(sum(n) AS BIGINT) AS n_items, avg(s) AS macro, sum(n * s) / sum(n) AS micro FROM t")
