@@ -1,7 +1,11 @@
 """Best-fit packing of documents into token sequences by the sum-of-squares rule.
 
 A document is tokenized, closed by an end id and, only if it is longer than a
-sequence, cut into full pieces and a last one.  Pieces are placed longest first.
+sequence, cut into full pieces and a last one.  A word's ids are put together
+from those of its pre-tokens, of which the library encodes each once per worker;
+words with other characters than ``_PLAIN`` go to the library as they are.
+
+Pieces are placed longest first.
 With N(g) open sequences of residual gap g, a piece goes where the sum of N(g)^2
 over all open gaps becomes smallest; among equal sums into the open sequence
 that it fills best, and into a new sequence last.
@@ -17,18 +21,22 @@ documents of their own; ids may be null; extra columns are not read.
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Collection, Iterator
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from minewright.llm.units import UnitMemory, slices, white_split
+from minewright.llm.token_counts import byte_letters
+from minewright.llm.units import UnitMemory, ranges, white_split_array
 from minewright.staging import stage
 
 CAPACITY, END_ID = 4096, 1
@@ -38,6 +46,54 @@ _MEMORY: dict[str, UnitMemory] = {}
 #: Words whose ids a Python worker remembers, of about 250 bytes each.
 WORDS_KEPT = 1_400_000
 
+#: Letters of which none combines with another or is lower-cased by its place (Latin, Cyrillic), and all characters of plain words.
+_LETTERS = "a-zªµºß-öø-įı-ſѐ-џа-я"
+_PLAIN = re.compile("[!-~¡-±´-¸»¿-įı-ſЀ-џ‐-‧‰-⁞€]*")
+#: What a file has to say for plain words to be split here: the steps before its byte pairs.
+_STEPS = {
+    "normalizer": {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+}
+_PARTS = re.compile(rf"'(?:s|t|re|ve|m|ll|d)|[{_LETTERS}]+|[0-9]|[^\n{_LETTERS}0-9]+|\n")
+
+
+class WordMemory(UnitMemory):
+    """Ids of words by their pre-tokens, which are units as well; ``pairs`` gives those of pre-tokens, ``work`` those of words that are not ``plain``."""
+
+    def __init__(self, work: Callable, pairs: Callable, plain: Callable[[str], bool], bound: int):
+        self.pairs, self.plain = pairs, plain
+        super().__init__(work, bound)
+
+    def forget(self) -> None:
+        super().forget()
+        self.add(["\n"], np.zeros(0, np.uint32), np.zeros(1, np.int64))  # stands between words, is none
+
+    def learn(self, units: Collection[str]) -> None:
+        if len(self.slot) >= self.bound:
+            self.forget()
+        new = [u for u in units if u not in self.slot]
+        if not self.plain("".join(new)):
+            odd = [u for u in new if not self.plain(u)]
+            if odd:
+                self.add(odd, *self.work(odd))
+            new = [u for u in new if u not in self.slot]
+        if not new:
+            return
+        parts = _PARTS.findall("\n".join(new).lower() + "\n")
+        unknown = [p for p in dict.fromkeys(parts) if p not in self.slot]
+        self.add(unknown, *self.pairs(unknown))
+        slots = np.fromiter(map(self.slot.__getitem__, parts), np.int64, len(parts))
+        ids, ends = self.gather(slots, np.flatnonzero(slots == 0) + 1)
+        size = np.diff(ends, prepend=0)
+        left = np.fromiter((u not in self.slot for u in new), bool, len(new))
+        self.add([u for u, x in zip(new, left.tolist(), strict=True) if x], ids[np.repeat(left, size)], size[left])
+
 
 def library_units(path: str, words_kept: int = WORDS_KEPT) -> UnitMemory:
     """Ids of a ``tokenizers`` file whose words are independent; a Python worker keeps one memory for all its tasks."""
@@ -67,7 +123,23 @@ def library_units(path: str, words_kept: int = WORDS_KEPT) -> UnitMemory:
             ends = np.flatnonzero(flat == mark)
             return flat[flat != mark], np.diff(np.append(-1, ends)) - 1
 
-        _MEMORY[path] = UnitMemory(work, bound=words_kept)
+        added = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
+        model, letters = tokenizer.model, {b: c for c, b in byte_letters().items()}
+
+        def pairs(parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+            ids, size = [], []
+            for p in parts:
+                found = model.tokenize(p if p.isascii() else p.encode().decode("latin-1").translate(letters))
+                ids.extend([t.id for t in found])
+                size.append(len(found))
+            return np.array(ids, np.uint32), np.array(size, np.int64)
+
+        def plain(text: str) -> bool:
+            return _PLAIN.fullmatch(text) is not None and not any(a in text for a in added)
+
+        steps = json.loads(tokenizer.to_str())
+        known = all(steps[k] == v for k, v in _STEPS.items())
+        _MEMORY[path] = WordMemory(work, pairs, plain, words_kept) if known else UnitMemory(work, words_kept)
     return _MEMORY[path]
 
 
@@ -82,9 +154,9 @@ def tokenized_pieces(documents: DataFrame, path: str, capacity: int = CAPACITY,
 
     def pieces_of(memory: UnitMemory, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, ids, rows = batch.column(1).to_pylist(), batch.column(0).to_pylist(), batch.column(2).to_pylist()
-            for a, b in slices(texts, 1 << 20):
-                flat, ends = memory.encode([white_split(t or "") for t in texts[a:b]])
+            texts, ids, rows = batch.column(1), batch.column(0).to_pylist(), batch.column(2).to_pylist()
+            for a, b in ranges(pc.fill_null(pc.binary_length(texts), 0).to_pylist(), 1 << 22):
+                flat, ends = memory.encode_array(white_split_array(texts.slice(a, b - a)))
                 out: list[list] = [[] for _ in range(7)]
                 begin = 0
                 for i, end in zip(range(a, b), ends.tolist(), strict=True):

@@ -7,11 +7,12 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 import sentencepiece
 from tokenizers import Tokenizer
 
-from minewright.llm import bwt, ngram_join, packing, pieces, suffix_dedup, token_counts
+from minewright.llm import bwt, ngram_join, packing, pieces, suffix_dedup, token_counts, units
 from minewright.llm.anchors import SPAN, RollingHash, anchors, sliding_least
 
 WORDS = "the of thing ing tion shall er and nd re Éire ou über 12 x1 don't".split()
@@ -67,6 +68,42 @@ def test_packing_places_every_piece_without_gaps(make_docs, rows):
     assert sum(map(len, whole.values())) == total
 
 
+def test_words_of_packing_are_the_librarys_and_pre_tokens_are_encoded_once(monkeypatch):
+    path = P.path("word_bpe_49k.json")
+    tokenizer, memory = Tokenizer.from_file(path), packing.library_units(path)
+    seen: list[str] = []
+    memory.forget()
+    monkeypatch.setattr(memory, "pairs", lambda parts, inner=memory.pairs: (seen.extend(parts), inner(parts))[1])
+    monkeypatch.setattr(memory, "work", lambda units, inner=memory.work: (seen.extend(units), inner(units))[1])
+    variants = [f"{w}{mark}" for w in ("river", "River", "RIVER", "fluß", "Fluß") for mark in ("", ".", ",", "!!", "'s")]
+    for words in (variants[:9], variants[9:], variants):
+        flat, ends = memory.encode_array(pa.array([words, [], words[:2]]))
+        assert [x.tolist() for x in np.split(flat, ends[:-1])] == [[i for w in part for i in tokenizer.encode(w, add_special_tokens=False).ids] for part in (words, [], words[:2])]
+    assert sorted(seen) == sorted(["river", "fluß", ".", ",", "!!", "'s"])
+
+
+def test_words_of_all_plain_characters_and_others_are_encoded_as_by_the_library():
+    path = P.path("word_bpe_49k.json")
+    tokenizer, memory = Tokenizer.from_file(path), packing.library_units(path)
+    rng = random.Random(5)
+    plain = [c for c in map(chr, range(0x21, 0x2200)) if packing._PLAIN.fullmatch(c)]
+    words = [w for c in plain for w in (c, f"a{c}1", f"'{c}", f"A{c}{c}Z")]
+    words += ["".join(rng.choices(plain, k=rng.randint(2, 9))) for _ in range(2000)]
+    words += ["".join(rng.choices("'strvemlldDN1.é", k=rng.randint(2, 9))) for _ in range(2000)]
+    words += ["a<|endoftext|>b", "<|startoftext|>", "<|ENDOFTEXT|>", "ΣΑΣ", "İs", "e\u0301", "x²", "١٢", "漢字かな", "a\x1cb", "\x1f", "😀's", "n" * 5000]
+    words = list(dict.fromkeys(words))
+    flat, ends = memory.encode_array(pa.array([[w] for w in words]))
+    assert [x.tolist() for x in np.split(flat, ends[:-1])] == [e.ids for e in tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+
+
+def test_words_of_arrays_end_at_the_same_white_space():
+    texts = [f"a{chr(c)}b {chr(c)}" for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    odd = [t for t in texts if t[1] in "\x1c\x1d\x1e\x1f"]
+    for some in ([t for t in texts if t not in odd], odd):
+        assert [[w for w in ws if w] for ws in units.white_split_array(pa.array(some)).to_pylist()] == [units.white_split(t) for t in some]
+    assert [[w for w in ws if w] for ws in units.white_split_array(pa.array([None, "", " x  y "])).to_pylist()] == [[], [], ["x", "y"]]
+
+
 def test_sum_of_squares_follows_its_rule():
     rng = np.random.default_rng(0)
     lengths = np.sort(rng.integers(1, 60, 300))[::-1]
