@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from minewright.functions.edits import edit_distance
+from minewright.operators.grams import letter_sums, together
 
 SIGMA = 6.0
 
@@ -32,12 +33,6 @@ def _marked(grams: Column, n: int) -> Column:
     return F.transform(grams, lambda g: F.struct(F.lit(n).alias("n"), g.alias("gram")))
 
 
-def _letters(s: Column, n: int) -> Column:
-    """All n-grams of characters."""
-    starts = F.when(F.length(s) >= n, F.sequence(F.lit(1), F.length(s) - n + 1)).otherwise(F.array().cast("array<int>"))
-    return F.transform(starts, lambda i: F.substring(s, i, F.lit(n)))
-
-
 def _counted(rows: DataFrame, key: list[str], text: str, orders: tuple[int, ...]) -> DataFrame:
     """``*key, n, gram, c``: how often each n-gram stands in each text."""
     spelled = F.flatten(F.array(*[_marked(grams(F.col("_t"), n), n) for n in orders]))
@@ -116,14 +111,12 @@ def rouge_l(pred: Column, ref: Column, beta: float = 1.2) -> Column:
 def chrf(rows: DataFrame, by: list[str], key: list[str], pred: str, ref: str, order: int = 6, beta: float = 2.0) -> DataFrame:
     """``*by, chrf``: corpus F-score of character n-grams without white space, in percent, from counts summed per order."""
 
-    def counted(text: str, name: str) -> DataFrame:
-        bare = F.regexp_replace(F.coalesce(F.col(text), F.lit("")), r"\s+", "")
-        each = rows.select(*by, *key, bare.alias("_s"))
-        spelled = F.flatten(F.array(*[_marked(_letters(F.col("_s"), n), n) for n in range(1, order + 1)]))
-        return each.select(*by, *key, F.inline(spelled)).groupBy(*by, *key, "n", "gram").agg(F.count(F.lit(1)).alias(name))
-
-    both = counted(pred, "p").join(counted(ref, "r"), [*by, *key, "n", "gram"], "full")
-    sums = both.groupBy(*by, "n").agg(F.sum(F.least(F.coalesce("p", F.lit(0)), F.coalesce("r", F.lit(0)))).alias("m"), F.sum(F.coalesce("p", F.lit(0))).alias("p"), F.sum(F.coalesce("r", F.lit(0))).alias("r"))
+    kinds = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
+    own = together(rows.select(*by, *key, pred, ref), [*by, *key])
+    each = own.mapInArrow(letter_sums(by, key, pred, ref, order), ", ".join([f"`{b}` {kinds[b]}" for b in by] + [f"{c} array<long>" for c in ("m", "p", "r")]))
+    total = lambda c, n: F.sum(F.col(c)[n - 1])
+    counts = each.groupBy(*by).agg(F.array(*[F.struct(*[total(c, n).alias(c) for c in ("m", "p", "r")]) for n in range(1, order + 1)]).alias("_n"))
+    sums = counts.select(*by, F.inline("_n"))
     whole = sums.where("p > 0 AND r > 0").groupBy(*by).agg(F.avg(F.col("m") / F.col("p")).alias("precision"), F.avg(F.col("m") / F.col("r")).alias("recall"))
     score = F.try_divide((1 + beta**2) * F.col("precision") * F.col("recall"), beta**2 * F.col("precision") + F.col("recall"))
     return whole.select(*by, (100 * F.coalesce(score, F.lit(0.0))).alias("chrf"))
