@@ -1,7 +1,8 @@
 """Corpus metrics of captions against references, from n-gram rows and summable counts.
 
-Tokens are lower-cased runs of letters and digits.  N-grams are exploded and counted by key, so that no caption's
-partners and no corpus table is gathered in a task; document frequencies are a grouped count.
+Tokens are lower-cased runs of letters and digits.  BLEU explodes n-grams and counts them by key, chrF and consensus count
+them in tasks that hold some rows at a time (``grams``), so that no caption's partners and no corpus table is gathered in
+a task; document frequencies are counted by ranges of 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from minewright.functions.edits import edit_distance
-from minewright.operators.grams import letter_sums, together
+from minewright.operators.grams import consensus, letter_sums, together
 
 SIGMA = 6.0
 
@@ -61,25 +62,10 @@ def consensus_scores(rows: DataFrame, key: list[str], pred: str, ref: str) -> Da
     """``*key, score``: consensus of a caption with its reference, ten times the mean over n of clipped tf-idf cosines, damped by the difference of lengths.
 
     The document frequency of an n-gram counts the references that have it; one row is one caption with one reference.
+    N-grams are told apart by hashes of 64 bits.
     """
-    p, r = _counted(rows, key, pred, (1, 2, 3, 4)), _counted(rows, key, ref, (1, 2, 3, 4))
-    df = r.groupBy("n", "gram").agg(F.count(F.lit(1)).alias("df"))
-    logs = math.log(max(rows.count(), 1))
-
-    def weighted(counted: DataFrame, name: str) -> DataFrame:
-        w = F.col("c") * (logs - F.log(F.greatest(F.coalesce(F.col("df"), F.lit(0)), F.lit(1)).cast("double")))
-        return counted.join(df, ["n", "gram"], "left").select(*key, "n", "gram", w.alias(name))
-
-    a, b = weighted(p, "a"), weighted(r, "b")
-    dots = a.join(b, [*key, "n", "gram"]).groupBy(*key, "n").agg(F.sum(F.least("a", "b") * F.col("b")).alias("dot"))
-    norm = lambda x, c: x.groupBy(*key, "n").agg(F.sqrt(F.sum(F.col(c) * F.col(c))).alias(f"norm_{c}"))
-    cosines = dots.join(norm(a, "a"), [*key, "n"]).join(norm(b, "b"), [*key, "n"])
-    cosine = F.when((F.col("norm_a") == 0) | (F.col("norm_b") == 0), F.col("dot")).otherwise(F.col("dot") / (F.col("norm_a") * F.col("norm_b")))
-    summed = cosines.groupBy(*key).agg(F.sum(cosine).alias("s"))
-    # Lengths are counted in bigrams, as the metric has it.
-    delta = F.greatest(F.size(tokens(F.col(pred))) - 1, F.lit(0)) - F.greatest(F.size(tokens(F.col(ref))) - 1, F.lit(0))
-    damped = rows.select(*key, F.exp(-(delta * delta) / (2 * SIGMA * SIGMA)).alias("d"))
-    return damped.join(summed, key, "left").select(*key, (10 * F.coalesce("s", F.lit(0.0)) / 4 * F.col("d")).alias("score"))
+    spaced = lambda c: F.regexp_replace(F.lower(F.col(c)), "[^a-z0-9]+", " ")
+    return consensus(rows.select(*key, spaced(pred).alias("_pred"), spaced(ref).alias("_ref")), key, "_pred", "_ref", SIGMA)
 
 
 def longest_common(a: list[str], b: list[str]) -> int:

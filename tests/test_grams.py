@@ -56,3 +56,34 @@ def test_rows_of_one_key_stay_together():
     batches = [pa.record_batch([pa.array([k], pa.int64()), pa.array(["word"])], names=["k", "t"]) for k in keys]
     got = [(t["k"].to_pylist(), of.tolist(), known.tolist()) for t, of, known in G.keyed(iter(batches), ["k"], ["t"], 1)]
     assert got == [([1, 1, 1], [0, 0, 0], [True] * 3), ([2], [0], [True]), ([None, None], [0, 0], [False] * 2), ([3], [0], [True])]
+
+
+def test_consensus_by_batches(spark):
+    """Document frequencies come from all batches; texts of one key are counted together and a key with a null scores 0."""
+    import math
+    import re
+
+    rows, df = keyed_rows(spark)
+    rows += [("u", 20 + i, f"the cat {i % 3} sat on a mat", f"The cat {i % 2} sat, on the mat") for i in range(12)]
+    df = df.union(spark.createDataFrame(rows[len(PAIRS) :], df.schema))
+    words = lambda t: re.findall("[a-z0-9]+", (t or "").lower())
+    count = lambda texts: Counter((n, tuple(w[i : i + n])) for w in map(words, texts) for n in range(1, 5) for i in range(len(w) - n + 1))
+    keys = {x[:2] for x in rows}
+    p, r = ({k: count([x[s] for x in rows if x[:2] == k]) for k in keys} for s in (2, 3))
+    found = Counter(g for k in keys for g in r[k])
+    want = []
+    for role, k, a, b in rows:
+        w = lambda c: {g: x * (math.log(len(rows)) - math.log(max(found[g], 1))) for g, x in c[role, k].items()}  # noqa: E731, B023
+        x, y, s = w(p), w(r), 0.0
+        for n in range(1, 5):
+            dot = sum(min(x[g], y[g]) * y[g] for g in x if g in y and g[0] == n)
+            both = math.prod(math.sqrt(sum(v * v for g, v in z.items() if g[0] == n)) for z in (x, y))
+            s += dot / both if both else dot
+        d = max(len(words(a)) - 1, 0) - max(len(words(b)) - 1, 0)
+        want.append((role, k, pytest.approx(10 * (s if role else 0) / 4 * math.exp(-d * d / 72))))
+    for size, grams in ((1 << 20, 2_000_000), (1, 3)):  # all rows in a batch, a key in each
+        own = df.select("role", "k", *[C.F.regexp_replace(C.F.lower(c), "[^a-z0-9]+", " ").alias(c) for c in ("text", "ref")])
+        got = G.consensus(own, ["role", "k"], "text", "ref", C.SIGMA, size, grams)
+        assert sorted(map(tuple, got.collect()), key=lambda t: (repr(t[:2]), t[2])) == sorted(want, key=lambda t: (repr(t[:2]), t[2].expected))
+    assert sorted(map(tuple, C.consensus_scores(df, ["role", "k"], "text", "ref").collect()), key=lambda t: (repr(t[:2]), t[2])) == sorted(want, key=lambda t: (repr(t[:2]), t[2].expected))
+    assert C.consensus_scores(df.limit(0), ["role", "k"], "text", "ref").count() == 0
